@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from reelsieve.llm import line_dedup, quality, url_filter
+from reelsieve.llm import bpe, license_scan, line_dedup, quality, simhash, url_filter
 
 QUERIES = {
     "op2_url_filter": (url_filter.query, url_filter.ORACLE),
-    "op8_quality": (quality.query, getattr(quality, "ORACLE", None)),
+    "op4_simhash": (simhash.query, None),
+    "op5_license_scan": (license_scan.query, None),
+    "op6_bpe": (bpe.query, None),
+    "op8_quality": (quality.query, None),
     "op9_line_dedup": (line_dedup.query, line_dedup.ORACLE),
 }
 
