@@ -177,9 +177,9 @@ class Tokenizer:
         chunks = _SPLIT.split(text) if _ODD.search(text) else text.split()
         return b"".join(map(self.chunks.__getitem__, chunks))
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if self.special and any(s in text for s in self.added):
+    def encode(self, text: str, special: bool = True) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; without special, the added tokens' strings are plain text."""
+        if special and self.special and any(s in text for s in self.added):
             return b"".join(self.added[p].to_bytes(4, "little") if p in self.added else self._plain(p) for p in self.special.split(text))
         return self._plain(text)
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from reelsieve.llm import bpe, license_scan, line_dedup, quality, simhash, url_filter
+from reelsieve.llm import bpe, decontaminate, license_scan, line_dedup, quality, simhash, token_counts, url_filter
 
 QUERIES = {
     "op2_url_filter": (url_filter.query, url_filter.ORACLE),
     "op4_simhash": (simhash.query, None),
     "op5_license_scan": (license_scan.query, None),
     "op6_bpe": (bpe.query, None),
+    "op7_token_counts": (token_counts.query, None),
     "op8_quality": (quality.query, None),
     "op9_line_dedup": (line_dedup.query, line_dedup.ORACLE),
+    "op10_decontaminate": (decontaminate.query, decontaminate.ORACLE),
 }
 
 
