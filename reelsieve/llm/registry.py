@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reelsieve.llm import bpe, decontaminate, license_scan, line_dedup, quality, simhash, suffix_dedup, token_counts, url_filter
+from reelsieve.llm import bpe, chaining, decontaminate, license_scan, line_dedup, quality, simhash, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": (suffix_dedup.query, None),
     "op2_url_filter": (url_filter.query, url_filter.ORACLE),
+    "op3_chaining": (chaining.query, None),
     "op4_simhash": (simhash.query, None),
     "op5_license_scan": (license_scan.query, None),
     "op6_bpe": (bpe.query, None),
