@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _HEX = "^[0-9a-fA-F]{16}$"
 
@@ -63,7 +64,7 @@ def edge_energy(pixels: Column, width: int = 64) -> Column:
     return F.aggregate(F.transform(at, lambda i: F.abs(F.get(pixels, i) - F.get(pixels, i - 1)).cast("double")), F.lit(0.0), lambda s, x: s + x) / F.size(at)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def dct_hash(pixels: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Perceptual hash of 32x32 gray values (flat array): signs of the 8x8 low DCT terms about their median."""
     import numpy as np

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Signals counted in crawler logs, by name.
 LOG_SIGNALS = {
@@ -76,7 +77,7 @@ def signal_counts(lines: DataFrame, col: str, signals: dict[str, str] = LOG_SIGN
     return sums.unpivot([], list(signals), "signal", "n").filter("n > 0")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def literal_to_json(text: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Python literals as JSON; null for anything else."""
     import json
