@@ -80,12 +80,12 @@ def token_counts(spark, folder: str, separator: int = SEPARATOR, dtype: str = DT
 
     found = cut(blocks.repartition("file", "block").mapInArrow(rows, "file string, tokens long, block long, ends array<bigint>"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = found.select("file", "block", F.size("ends").cast("long").alias("n"), F.element_at("ends", -1).alias("last"))
+    sums = found.select("file", "block", F.size("ends").cast("long").alias("n"), F.try_element_at("ends", F.lit(-1)).alias("last"))
     scan = sums.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ended"), F.coalesce(F.max("last").over(before) + 1, F.lit(0)).alias("begun"))
     placed = found.join(scan, ["file", "block"]).select("file", "ended", "begun", "ends", F.posexplode("ends").alias("i", "end"))
     start = F.when(F.col("i") == 0, F.col("begun")).otherwise(F.get("ends", F.col("i") - 1) + 1)
     whole = placed.select("file", (F.col("ended") + F.col("i")).alias("nth"), start.alias("start"), (F.col("end") - start).alias("n_tokens"), F.lit(True).alias("terminated"))
-    tails = found.groupBy("file").agg(F.max("tokens").alias("tokens"), F.sum(F.size("ends")).cast("long").alias("nth"), F.coalesce(F.max(F.element_at("ends", -1)) + 1, F.lit(0)).alias("start"))
+    tails = found.groupBy("file").agg(F.max("tokens").alias("tokens"), F.sum(F.size("ends")).cast("long").alias("nth"), F.coalesce(F.max(F.try_element_at("ends", F.lit(-1))) + 1, F.lit(0)).alias("start"))
     open_ = tails.filter("start < tokens").select("file", "nth", "start", (F.col("tokens") - F.col("start")).alias("n_tokens"), F.lit(False).alias("terminated"))
     return whole.unionByName(open_)
 
