@@ -57,7 +57,7 @@ def host_lines(packed: DataFrame, host: str) -> DataFrame:
     lines = F.filter(F.split(F.regexp_replace(F.lower(F.coalesce("row.text", F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), " ?\n ?"), lambda x: F.btrim(x) != "")
     full = packed.select(src, *text_key(), F.transform(lines, lambda x: F.struct(F.xxhash64(F.btrim(x)).alias("h"), F.size(F.split(F.btrim(x), " ")).cast("long").alias("n"))).alias("ls"))
     at = full.select("host", "t1", "t2", "ls", F.posexplode("ls").alias("pos", "x"))
-    ctx = F.xxhash64(F.get("ls", F.col("pos") - 1)["h"], F.get("ls", F.col("pos") + 1)["h"])
+    ctx = F.xxhash64(*[F.coalesce(F.get("ls", F.col("pos") + d)["h"], F.lit(d)) for d in (-1, 1)])
     return at.select("host", "t1", "t2", "pos", "x.h", "x.n", ctx.alias("ctx"))
 
 
@@ -93,3 +93,23 @@ def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_words", "base_failed", "kept")
+
+
+_BLANK = r"[\x20\x09-\x0D]"
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '{_BLANK}+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+ list_filter(list_transform(string_split_regex(regexp_replace(lower(t), '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' ?\n ?'), lambda x: trim(x)), lambda x: x <> '') AS ns FROM d),
+g AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w), h AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS tri FROM g),
+r AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, tri) AS c FROM h),
+k AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM r WHERE c > 1) GROUP BY rid),
+l AS (SELECT rid, host, t, unnest(ns) AS line, generate_subscripts(ns, 1) AS pos FROM w),
+x AS (SELECT *, coalesce(lag(line) OVER q, chr(1)) || chr(2) || coalesce(lead(line) OVER q, chr(1)) AS ctx FROM l WINDOW q AS (PARTITION BY rid ORDER BY pos)),
+o AS (SELECT host, line, least(count(DISTINCT t), count(DISTINCT ctx)) AS held FROM x GROUP BY host, line), z AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
+f AS (SELECT host, line FROM o JOIN z USING (host) WHERE held >= 10 AND held > 0.01 * n),
+m AS (SELECT rid, sum(len(string_split(line, ' ')))::BIGINT AS n_common FROM l JOIN f USING (host, line) GROUP BY rid),
+a AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+ len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_common, 0) AS n_common_words FROM w LEFT JOIN k USING (rid) LEFT JOIN m USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+SELECT *, NOT base_failed AND NOT (n_words - n_common_words < 0.3 * n_words) AS kept FROM b
+"""

@@ -12,7 +12,7 @@ QUERIES = {
     "op5_license_scan": (license_scan.query, None),
     "op6_bpe": (bpe.query, None),
     "op7_token_counts": (token_counts.query, None),
-    "op8_quality": (quality.query, None),
+    "op8_quality": (quality.query, quality.ORACLE),
     "op9_line_dedup": (line_dedup.query, line_dedup.ORACLE),
     "op10_decontaminate": (decontaminate.query, decontaminate.ORACLE),
 }
