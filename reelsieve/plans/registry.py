@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelsieve.plans import identity_queries, media_queries, report_queries  # noqa: F401  they register their queries
+from reelsieve.plans import extra_queries, identity_queries, media_queries, report_queries  # noqa: F401  they register their queries
 from reelsieve.plans.base import ORACLES, QUERIES
 
 
