@@ -30,7 +30,7 @@ from reelsieve.llm.suffix_array import suffix_array
 
 GRAM = 32
 #: Bytes scanned at once; memory is about 100 times this.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _POS = (1 << 31) - 1
 
 
@@ -182,7 +182,7 @@ def matches(members: list[tuple], length: int) -> list[tuple[int, int, int]]:
     return list(zip(row[dup][cuts].tolist(), i[dup][cuts].tolist(), runs.tolist()))
 
 
-def _sorted_groups(members: DataFrame, length: int, batch_bytes: int = 16 << 20) -> DataFrame:
+def _sorted_groups(members: DataFrame, length: int, batch_bytes: int = 1 << 21) -> DataFrame:
     """did, t, lo, hi: repeated stretches of members that stand once (copies = 1), by suffix arrays over whole groups."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
