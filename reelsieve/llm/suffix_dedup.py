@@ -235,7 +235,7 @@ def repeated(keyed: DataFrame, length: int = 400, split: int = 1024) -> DataFram
     kinds = cut(kinds.join(kinds.groupBy("key").agg(F.count("span").alias("kinds")), "key"))
     whole = hits.join(kinds.filter("copies > 1").select("key", "span"), ["key", "span"]).select("did", "t", F.col("at").alias("lo"), (F.col("at") + F.col("n") + (length - 1)).alias("hi"))
     lists = kinds.filter("kinds > 1").groupBy("one.did", "one.t").agg(F.collect_list(F.struct("key", "copies", "kinds", "one.at", "one.n", "one.off")).alias("spans"))
-    members = keyed.dropDuplicates(["did", "t"]).join(lists, ["did", "t"]).select("did", "t", "text", F.explode("spans").alias("s"))
+    members = keyed.join(lists, ["did", "t"]).select("did", "t", "text", F.explode("spans").alias("s"))
     members = members.select("did", "t", "s.*", F.expr(f"substring(text, s.at + 1, s.n + {length - 1})").alias("bytes"))
     members = cut(members)
     parts = [whole, _sorted_groups(members.filter(F.col("kinds") <= split), length), _split_groups(members.filter(F.col("kinds") > split), length)]
@@ -244,11 +244,12 @@ def repeated(keyed: DataFrame, length: int = 400, split: int = 1024) -> DataFram
 
 
 def dedup_substrings(docs: DataFrame, length: int = 400, split: int = 1024, digests: bool = False) -> DataFrame:
-    """docs with kept_text (binary: what is left may break a character; with digests, kept_sha256 in its place),
+    """docs with kept_text in place of text (binary: what is left may break a character; with digests, kept_sha256),
     n_bytes, n_removed, n_spans."""
-    packed = pack(docs)
-    text = F.encode(F.coalesce("row.text", F.lit("")), "UTF-8")
-    keyed = packed.select("row", doc_key(), F.hash(F.coalesce("row.text", F.lit(""))).alias("t"), text.alias("text"))
+    # the text crosses the shuffle once, beside the other columns
+    others = [c for c in docs.columns if c not in ("text", *(("kept_sha256",) if digests else ("kept_text",)), "n_bytes", "n_removed", "n_spans")]
+    packed = pack(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in others or c == "text"]))
+    keyed = packed.select(F.struct(*[F.col("row").getField(c).alias(c) for c in others]).alias("row") if others else F.struct(F.lit(0).alias("none")).alias("row"), doc_key(), F.hash(F.coalesce("row.text", F.lit(""))).alias("t"), F.encode(F.coalesce("row.text", F.lit("")), "UTF-8").alias("text"))
     joined = keyed.join(repeated(keyed.select("did", "t", "text"), length, split), ["did", "t"], "left").select("row", F.col("text").alias("raw"), "cuts")
     new = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string") if digests else ("kept_text", "binary")]
     schema = T.StructType([joined.schema["row"], *[T.StructField(c, T._parse_datatype_string(t)) for c, t in new]])
@@ -276,7 +277,7 @@ def dedup_substrings(docs: DataFrame, length: int = 400, split: int = 1024, dige
             cols = [pa.array([x[k] for x in out], kinds[k]) for k in range(4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["row", *[c for c, _ in new]])
 
-    return unpack(joined.mapInArrow(rows, schema), docs.columns, **{c: F.col(c) for c, _ in new})
+    return unpack(joined.mapInArrow(rows, schema), others, **{c: F.col(c) for c, _ in new})
 
 
 def query(spark, sf_dir: str) -> DataFrame:
