@@ -14,52 +14,33 @@ def netloc(url: Column) -> Column:
     return F.split_part(F.element_at(F.split(raw, "@"), -1), F.lit(":"), F.lit(1))
 
 
-def _once(value: Column, body) -> Column:
-    """body(value) with value computed once and named, so that expressions built on it don't multiply."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+# SQL text: thousands of expression nodes are parsed at once. transform(array(x), v -> ...) names a value that is used
+# many times, so that filters pushed through these columns stay as small as they are.
+_PLATFORM = "CASE " + " ".join(f"WHEN h = '{h}' OR endswith(h, '.{h}') THEN '{p}'" for p, hs in HOSTS.items() for h in hs) + " END"
+_OF_HOST = f"element_at(transform(array(_host), h -> {_PLATFORM}), 1)"
+_RULE = "CASE " + " ".join(f"WHEN p = '{p}' AND _u RLIKE r'{r}' THEN {i}" for i, (p, r, _, _) in enumerate(URL_RULES)) + " END"
+_ID = "CASE n " + " ".join(f"WHEN {i} THEN regexp_extract(_u, r'{r}', 1)" for i, (_, r, _, _) in enumerate(URL_RULES)) + " END"
 
 
-def _platform(host: Column) -> Column:
-    return F.coalesce(*[F.when((host == h) | host.endswith(f".{h}"), F.lit(p)) for p, hs in HOSTS.items() for h in hs])
-
-
-def detect_platform(url: Column) -> Column:
-    """Platform of the url's host, or of a host that it is a subdomain of; never by a substring of the url."""
-    return _once(netloc(url), _platform)
-
-
-def canonical_id(url: Column) -> Column:
-    """Struct (platform, object_type, object_id, is_short) by the first rule of the platform that fits, else null."""
-    u = F.coalesce(url, F.lit(""))
-
-    def fields(no: Column) -> Column:
-        by_rule = lambda values: F.get(F.array(*map(F.lit, values)), no)
-        ids = F.coalesce(*[F.when(no == i, F.regexp_extract(u, r, 1)) for i, (_, r, _, _) in enumerate(URL_RULES)])
-        return F.when(no.isNotNull(), F.struct(
-            by_rule([r[0] for r in URL_RULES]).alias("platform"), by_rule([r[2] for r in URL_RULES]).alias("object_type"),
-            ids.alias("object_id"), by_rule([r[3] for r in URL_RULES]).alias("is_short")))
-
-    def rule(p: Column) -> Column:
-        return F.coalesce(*[F.when((p == q) & F.rlike(u, F.lit(r)), F.lit(i)) for i, (q, r, _, _) in enumerate(URL_RULES)])
-
-    return _once(_once(detect_platform(url), rule), fields)
-
-
-def is_short_link(url: Column) -> Column:
-    return F.coalesce(canonical_id(url)["is_short"], F.lit(False))
+def _by_rule(values: list) -> Column:
+    return F.expr(f"get(array({', '.join(repr(v) if isinstance(v, str) else str(v).lower() for v in values)}), _rule)")
 
 
 def with_platform(df: DataFrame, url: str, out: str = "platform") -> DataFrame:
-    return df.withColumn(out, detect_platform(F.col(url)))
+    """df with the platform of the url's host, or of a host that it is a subdomain of; never by a substring of the url."""
+    return df.withColumn("_host", netloc(F.col(url))).withColumn(out, F.expr(_OF_HOST)).drop("_host")
 
 
 def with_identity(df: DataFrame, url: str) -> DataFrame:
-    """df with platform, object_type, object_id and is_short; without a rule null, null, null and false."""
-    named = df.withColumn("_c", canonical_id(F.col(url)))
-    return named.withColumns({
-        "platform": F.col("_c.platform"), "object_type": F.col("_c.object_type"), "object_id": F.col("_c.object_id"),
-        "is_short": F.coalesce("_c.is_short", F.lit(False)),
-    }).drop("_c")
+    """df with platform, object_type, object_id and is_short by the first rule of the platform that fits; without one
+    null, null, null and false."""
+    parts = df.withColumns({"_host": netloc(F.col(url)), "_u": F.coalesce(F.col(url), F.lit(""))})
+    ruled = parts.withColumn("_rule", F.expr(f"element_at(transform(array({_OF_HOST}), p -> {_RULE}), 1)"))
+    return ruled.withColumns({
+        "platform": _by_rule([r[0] for r in URL_RULES]), "object_type": _by_rule([r[2] for r in URL_RULES]),
+        "object_id": F.expr(f"element_at(transform(array(_rule), n -> {_ID}), 1)"),
+        "is_short": F.coalesce(_by_rule([r[3] for r in URL_RULES]), F.lit(False)),
+    }).drop("_host", "_u", "_rule")
 
 
 def is_absolute(url: Column) -> Column:
