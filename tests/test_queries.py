@@ -34,7 +34,7 @@ def test_twin(spark, duck, sf, name):
     twin = duck.sql(registry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(twin.columns)
     ours = sorted(repr(tuple(map(plain, r))) for r in df.select(*sorted(df.columns)).collect())
-    theirs = sorted(repr(tuple(map(plain, r))) for r in twin.project(", ".join(sorted(twin.columns))).fetchall())
+    theirs = sorted(repr(tuple(map(plain, r))) for r in twin.project(", ".join(f'"{c}"' for c in sorted(twin.columns))).fetchall())
     assert ours == theirs
 
 
