@@ -71,6 +71,23 @@ def small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return (F.broadcast(df) if few else df), few
 
 
+#: A key is hot if it has over one in so many of the rows; hence no more hot keys than this.
+HOT_PARTS = 1000
+
+
+def join_spread(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, salt: list[Column]) -> DataFrame:
+    """left outer join with right, which has one row per key; hot holds what right has for left's hot keys, nulls for
+    nothing. These are at most HOT_PARTS and broadcast. left's rows with a hot key are dealt by a hash of salt, so that they never meet in one task;
+    what that hash might match by chance is passed over for the row of hot. left's keys are longs or strings; some are longs."""
+    longs = [f.name for f in left.schema.fields if f.name in keys and f.dataType.typeName() == "long"]
+    new = [c for c in right.columns if c not in keys]
+    marked = left.join(F.broadcast(hot.select(*keys, F.struct(*new).alias("_hot"))), keys, "left")
+    dealt = F.xxhash64(*salt)
+    marked = marked.select("*", *[(F.when(F.col("_hot").isNull(), F.col(k)).otherwise(dealt) if k in longs else F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)])
+    met = marked.join(right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*new).alias("_new")), [f"_k{i}" for i in range(len(keys))], "left")
+    return met.select(*[F.col(f"`{c}`") for c in left.columns], *[F.when(F.col("_hot").isNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_hot.{c}")).alias(c) for c in new])
+
+
 def pack(df: DataFrame) -> DataFrame:
     """df as one struct column ``row``: whatever its columns are called, they clash with no name that an operator uses."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import cut
+from reelsieve.llm.common import HOT_PARTS, cut, join_spread
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """edges (u long, v long) -> (node, root): root is the least node that can be reached. Empty edges give no rows.
 
     In each round a node takes the least label of itself and its neighbours (a pre-aggregated minimum, so a hub's
-    neighbours don't meet in one task), then the label of its label. Labels only fall; their sum tells when none fell."""
+    neighbours don't meet in one task), then the label of its label; the nodes of a label with over a thousandth of all
+    are dealt out. Labels only fall; their sum tells when none fell."""
     both = edges.filter("u <> v").select("u", "v").unionByName(edges.filter("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
     links = cut(both.distinct())
     labels = cut(links.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root")))
     total = F.sum(F.col("root").cast("decimal(38,0)"))
-    last = labels.agg(total).first()[0]
+    last, nodes = labels.agg(total, F.count("node")).first()
     if last is None:
         return labels
     for _ in range(max_rounds):
         near = links.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("root").alias("m"))
-        low = labels.join(near.withColumnRenamed("u", "node"), "node").select("node", F.least("root", "m").alias("root"))
+        low = cut(labels.join(near.withColumnRenamed("u", "node"), "node").select("node", F.least("root", "m").alias("root")))
         jump = low.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        labels = cut(low.join(jump, "root", "left").select("node", F.least("root", "far").alias("root")))
+        many = low.groupBy("root").count().filter(F.col("count") > nodes / HOT_PARTS).select("root")
+        met = join_spread(low, jump, ["root"], jump.join(F.broadcast(many), "root"), [F.col("node")])
+        labels = cut(met.select("node", F.least("root", "far").alias("root")))
         now = labels.agg(total).first()[0]
         if now == last:
             return labels

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsieve.llm.common import cut
+from reelsieve.llm.common import HOT_PARTS, cut, join_spread
 from reelsieve.llm.components import components
 
 _LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -143,10 +143,13 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     prints = cut(fingerprints(docs.select(*out, text_col), text_col))
     nodes = cut(prints.groupBy("fp").agg(F.min(id_col).alias("low"), F.count("fp").alias("rows")))
     roots = components(links(nodes.select("fp"), radius))
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("rows").alias("component_rows"))
-    known = cut(placed.join(groups, "root").select("fp", "component_id", "component_rows"))
-    return prints.join(known, "fp").select(*out, "fp", "component_id", "component_rows")
+    placed = cut(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    groups = cut(placed.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("rows").alias("component_rows"), F.count("fp").alias("prints")))
+    total, distinct = groups.agg(F.sum("component_rows"), F.sum("prints")).first()
+    hot = groups.filter(F.col("prints") > (distinct or 0) / HOT_PARTS).drop("prints")
+    known = cut(join_spread(placed, groups.drop("prints"), ["root"], hot, [F.col("fp")]).select("fp", "rows", "component_id", "component_rows"))
+    hot = known.filter(F.col("rows") > (total or 0) / HOT_PARTS).drop("rows")
+    return join_spread(prints, known.drop("rows"), ["fp"], hot, [F.col(f"`{id_col}`")]).select(*out, "fp", "component_id", "component_rows")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
