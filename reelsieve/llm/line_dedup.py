@@ -1,7 +1,8 @@
 """Line deduplication across documents: a long enough line that several documents hold stays in one of them.
 
 Native: explode lines, hash their keys, count distinct documents per key (pre-aggregated before each shuffle),
-find the lines to drop, and put each document together again by line position.
+find the lines to drop, and put each document together again by line position. A key with over a thousandth of all
+held lines is settled by a broadcast of at most a thousand rows, so that its lines never meet in one task.
 Null or empty text is one empty line. A null doc_id counts as one document, below all others. Rows with equal
 doc_id and text are one document and get the same result; other columns pass through.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import WS, ascii_lower, doc_key, let, pack, text_key, unpack
+from reelsieve.llm.common import HOT_PARTS, WS, ascii_lower, cut, doc_key, join_spread, let, pack, text_key, unpack
 
 
 def shared_lines(packed: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -20,12 +21,15 @@ def shared_lines(packed: DataFrame, min_chars: int = 20, min_docs: int = 3) -> D
     key = ascii_lower(F.btrim("line", F.lit(WS)))
     lines = lines.withColumn("key", key).filter(F.length("key") >= min_chars).select(
         "did", "t1", "t2", "pos", F.xxhash64("key").alias("k1"), F.xxhash64("key", F.lit(1)).alias("k2"))
-    held = (
+    held = cut(
         lines.groupBy("k1", "k2", "did").agg(F.lit(1).alias("one"))
         .groupBy("k1", "k2").agg(F.count("one").alias("n"), F.max("did").alias("keeper"))
-        .filter(F.col("n") >= min_docs).drop("n")
+        .filter(F.col("n") >= min_docs)
     )
-    gone = lines.join(held, ["k1", "k2"]).filter(F.col("did") < F.col("keeper"))
+    total = held.agg(F.sum("n")).first()[0] or 0
+    hot = held.filter(F.col("n") > total / HOT_PARTS).drop("n")
+    met = join_spread(lines, held.drop("n"), ["k1", "k2"], hot, [F.col("did"), F.col("pos")])
+    gone = met.filter(F.col("did") < F.col("keeper"))
     return gone.groupBy("did", "t1", "t2").agg(F.collect_set("pos").alias("drop"))
 
 
