@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import WS, cut, let, pack, small, text_key, unpack, words
+from reelsieve.llm.common import HOT_PARTS, WS, cut, join_spread, let, pack, small, text_key, unpack, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -62,28 +62,38 @@ def host_lines(packed: DataFrame, host: str) -> DataFrame:
 
 
 def common_lines(lines: DataFrame, texts: DataFrame, share: float, min_docs: int) -> DataFrame:
-    """host, h of the lines over the limit. texts: host, t1, t2 of every row."""
+    """host, h of the lines over the limit. texts: each host, t1, t2 once."""
     counts = lines.groupBy("host", "h").agg(F.countDistinct("t1", "t2").alias("n_docs"), F.countDistinct("ctx").alias("n_ctx"))
-    sizes = texts.distinct().groupBy("host").agg(F.count("t1").alias("of"))
+    sizes = texts.groupBy("host").agg(F.count("t1").alias("of"))
     held = F.least("n_docs", "n_ctx")
     return counts.filter(held >= min_docs).join(sizes, "host").filter(held > F.col("of") * share).select("host", "h")
 
 
 def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
     """docs with the features, n_common_words (words in lines over the limit), base_failed and kept. The lines over the
-    limit are broadcast when they count at most ``broadcast_rows``, else joined by a shuffle."""
+    limit, and the texts that hold any, are each broadcast when they count at most ``broadcast_rows``, else joined by a
+    shuffle that deals out texts of very many copies."""
     packed = pack(docs)
     src = F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0")).alias("host")
     lines = host_lines(packed, host)
-    over, _ = small(cut(common_lines(lines, packed.select(src, *text_key()), share, min_docs)), broadcast_rows)
-    common = (
+    texts = cut(packed.select(src, *text_key()).groupBy("host", "t1", "t2").count())
+    over, _ = small(cut(common_lines(lines, texts, share, min_docs)), broadcast_rows)
+    common = cut(
         lines.join(over, ["host", "h"])
         .groupBy("host", "t1", "t2", "pos").agg(F.max("n").alias("n"))  # equal rows count once
         .groupBy("host", "t1", "t2").agg(F.sum("n").alias("n_common"))
     )
     f = features(F.col("row.text"))
     wide = packed.select("row", src, *text_key(), *[v.alias(f"f_{k}") for k, v in f.items()])
-    joined = wide.join(common, ["host", "t1", "t2"], "left")
+    key = ["host", "t1", "t2"]
+    common, few = small(common, broadcast_rows)
+    if few:
+        joined = wide.join(common, key, "left")
+    else:
+        rows = texts.agg(F.sum("count")).first()[0] or 0
+        copied = texts.filter(F.col("count") > rows / HOT_PARTS).select(*key)  # texts of very many copies
+        salt = F.col("row.doc_id") if "doc_id" in docs.columns else F.col("t1")
+        joined = join_spread(wide, common, key, F.broadcast(copied).join(common, key, "left"), [salt])
     n_common = F.coalesce("n_common", F.lit(0)).cast("long")
     failed = (F.col("f_n_words") < 50) | (100 * F.col("f_n_repeat_words") > 50 * F.col("f_n_words"))
     depleted = (F.col("f_n_words") - n_common) < least_left * F.col("f_n_words")

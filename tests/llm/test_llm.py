@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from reelsieve.llm import bpe, chaining, decontaminate, license_scan, line_dedup, quality, simhash, suffix_dedup, token_counts, url_filter
+from reelsieve.llm.common import join_spread
 from reelsieve.llm.suffix_array import common_prefixes, suffix_array
 
 DOCS = "doc_id long, text string, source string"
@@ -262,6 +263,30 @@ def test_quality_boilerplate(spark):
     assert not any(kept[i] for i in range(30)) and all(kept[i] for i in kept if i >= 100)
 
 
+def test_quality_by_shuffle(spark, docs):
+    lines = "\n".join(["subscribe to our newsletter today", "all the news that we print"])
+    more = spark.createDataFrame([(100 + i, f"{lines}\n{i} " + " ".join(f"v{i}x{k}" for k in range(8 * (i % 9))) + f"\n{lines}", "s1") for i in range(40)] * 2, DOCS)
+    some = docs.unionByName(more)
+    cols = ("doc_id", "n_words", "n_common_words", "kept")
+    got = [sorted(map(repr, by_row_unsorted(quality.judge(some, broadcast_rows=n), *cols))) for n in (100_000, 0)]
+    assert got[0] == got[1] and any("False" in r for r in got[0])
+
+
+def by_row_unsorted(df, *cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+@pytest.mark.parametrize("hot", [[], [1], [1, 2, 9], list(range(12))])
+def test_join_spread(spark, hot):
+    """The result is that of a left join, whichever keys count as hot; hot keys without a match give nulls."""
+    left = spark.createDataFrame([(i % 9, str(i % 2), i) for i in range(60)], "k long, s string, `odd.name` long")
+    right = spark.createDataFrame([(k, s, 10 * k) for k in range(7) for s in "01"], "k long, s string, v long")
+    some = spark.createDataFrame([(k, s) for k in hot for s in "01"], "k long, s string").join(right, ["k", "s"], "left")
+    got = join_spread(left, right, ["k", "s"], some, [F.col("`odd.name`")])
+    want = [(i % 9, str(i % 2), i, 10 * (i % 9) if i % 9 < 7 else None) for i in range(60)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_line_dedup(docs, corpus):
     keep = {}
     held = defaultdict(set)
