@@ -104,6 +104,25 @@ def test_chaining_finds_passages(docs, corpus):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.doc_id != r.other_id for r in rows)
 
 
+@pytest.mark.parametrize("n, share", [(60, 0.05), (60, 0.1), (60, 0.15), (100, 0.15), (60, 0.2), (100, 0.2)])
+def test_chaining_recall(spark, n, share):
+    """Passages of which a share of the words is replaced, left out or added, evenly or anywhere."""
+    rng = random.Random(22)
+    rows, want = [], set()
+    for g in range(40):
+        p = [rng.choice(WORDS) for _ in range(n)]
+        q, edits = list(p), int(share * n)
+        places = [int((e + 0.5) / share) for e in range(edits)] if g % 2 else rng.sample(range(n), edits)
+        for x in sorted(places, reverse=True):
+            kind = rng.choice("rio") if g % 4 > 1 else "r"
+            q[x : x + 1] = {"r": [f"z{x}"], "i": [q[x], f"z{x}"], "o": []}[kind]
+        for i, part in enumerate((p, q)):
+            rows.append((2 * g + i, " ".join(f"a{g}x{i}x{k}" for k in range(60)) + f" {' '.join(part)} " + " ".join(f"b{g}x{i}x{k}" for k in range(60))))
+        want.add((2 * g + 1, 2 * g))
+    got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_chain_fenwick_brute_force():
     rng = random.Random(9)
     for _ in range(200):
