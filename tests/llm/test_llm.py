@@ -104,6 +104,19 @@ def test_chaining_finds_passages(docs, corpus):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.doc_id != r.other_id for r in rows)
 
 
+@pytest.mark.parametrize("few", [32, 1])
+def test_chaining_links_later_holders(spark, few):
+    """Texts 1 and 2 hold parts of a passage that only 3 and 4 hold whole."""
+    rng = random.Random(21)
+    rows = []
+    for g in range(20):
+        p = [rng.choice(WORDS) for _ in range(60)]
+        for i, part in enumerate((p[:40], p[20:], p, p)):
+            rows.append((4 * g + i, f"{words(rng, 40)} {' '.join(part)} {words(rng, 40)}"))
+    got = {(r.doc_id, r.other_id): r for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string"), few=few).collect()}
+    assert all(got[4 * g + 3, 4 * g + 2].n_equal >= 60 for g in range(20))
+
+
 @pytest.mark.parametrize("n, share", [(60, 0.05), (60, 0.1), (60, 0.15), (100, 0.15), (60, 0.2), (100, 0.2)])
 def test_chaining_recall(spark, n, share):
     """Passages of which a share of the words is replaced, left out or added, evenly or anywhere."""
