@@ -1,8 +1,9 @@
 """Quality rules: features of each text, and lines that too many documents of a host hold.
 
 Native. The cross-document rule hashes normalised lines (trimmed, lower-cased, white space squeezed) and counts, per
-host, the distinct documents that hold them. Documents with equal texts count once, and so do those whose line stands
-between the same neighbours: a group of copies alone makes no line boilerplate. A line over the limit is taken out in
+host, the distinct documents that hold them. Documents with equal texts count once. Lines that enough documents hold
+form blocks where they follow each other, and documents whose block stands between the same lines count once too: a
+passage copied with its surroundings is no boilerplate, while each line of a menu or a footer is. A line over the limit is taken out in
 thought; a document of which too few words are left is rejected. The limit is a share of the host's documents, so it
 means the same at any size. Null text has no words and fails; null hosts form one host. Rows are judged by their host
 and text alone, so repeated rows and repeated or null ids get equal verdicts; other columns pass through.
@@ -10,7 +11,7 @@ and text alone, so repeated rows and repeated or null ids get equal verdicts; ot
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsieve.llm.common import HOT_PARTS, WS, cut, join_spread, let, pack, small, text_key, unpack, words
@@ -52,21 +53,28 @@ def features(text: Column) -> dict[str, Column]:
 
 
 def host_lines(packed: DataFrame, host: str) -> DataFrame:
-    """host, t1, t2, pos, h (hash of the normalised line), n (its words), ctx (of its neighbours): each line with a word."""
+    """host, t1, t2, pos, h (hash of the normalised line), n (its words), before and after (hashes of its neighbours):
+    each line with a word."""
     src = F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0")).alias("host")
     lines = F.filter(F.split(F.regexp_replace(F.lower(F.coalesce("row.text", F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), " ?\n ?"), lambda x: F.btrim(x) != "")
     full = packed.select(src, *text_key(), F.transform(lines, lambda x: F.struct(F.xxhash64(F.btrim(x)).alias("h"), F.size(F.split(F.btrim(x), " ")).cast("long").alias("n"))).alias("ls"))
     at = full.select("host", "t1", "t2", "ls", F.posexplode("ls").alias("pos", "x"))
-    ctx = F.xxhash64(*[F.coalesce(F.get("ls", F.col("pos") + d)["h"], F.lit(d)) for d in (-1, 1)])
-    return at.select("host", "t1", "t2", "pos", "x.h", "x.n", ctx.alias("ctx"))
+    before, after = [F.coalesce(F.get("ls", F.col("pos") + d)["h"], F.lit(d)).alias(k) for k, d in (("before", -1), ("after", 1))]
+    return at.select("host", "t1", "t2", "pos", "x.h", "x.n", before, after)
 
 
-def common_lines(lines: DataFrame, texts: DataFrame, share: float, min_docs: int) -> DataFrame:
-    """host, h of the lines over the limit. texts: each host, t1, t2 once."""
-    counts = lines.groupBy("host", "h").agg(F.countDistinct("t1", "t2").alias("n_docs"), F.countDistinct("ctx").alias("n_ctx"))
-    sizes = texts.groupBy("host").agg(F.count("t1").alias("of"))
-    held = F.least("n_docs", "n_ctx")
-    return counts.filter(held >= min_docs).join(sizes, "host").filter(held > F.col("of") * share).select("host", "h")
+def over_limit(counts: DataFrame, sizes: DataFrame, held: str, share: float, min_docs: int) -> DataFrame:
+    """host, h of the lines whose count ``held`` is over the limit. sizes: host, of (its distinct documents)."""
+    return counts.filter(F.col(held) >= min_docs).join(sizes, "host").filter(F.col(held) > F.col("of") * share).select("host", "h")
+
+
+def block_contexts(hits: DataFrame) -> DataFrame:
+    """host, h, n_ctx: between how many different pairs of lines the blocks stand that hold the line."""
+    doc = Window.partitionBy("host", "t1", "t2")
+    starts = F.coalesce(F.col("pos") - F.lag("pos").over(doc.orderBy("pos")) > 1, F.lit(True)).cast("int")
+    runs = hits.withColumn("start", starts).withColumn("run", F.sum("start").over(doc.orderBy("pos")))
+    ends = runs.groupBy("host", "t1", "t2", "run").agg(F.xxhash64(F.min_by("before", "pos"), F.max_by("after", "pos")).alias("ctx"), F.collect_set("h").alias("hs"))
+    return ends.select("host", "ctx", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.countDistinct("ctx").alias("n_ctx"))
 
 
 def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
@@ -77,12 +85,12 @@ def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs:
     src = F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0")).alias("host")
     lines = host_lines(packed, host)
     texts = cut(packed.select(src, *text_key()).groupBy("host", "t1", "t2").count())
-    over, _ = small(cut(common_lines(lines, texts, share, min_docs)), broadcast_rows)
-    common = cut(
-        lines.join(over, ["host", "h"])
-        .groupBy("host", "t1", "t2", "pos").agg(F.max("n").alias("n"))  # equal rows count once
-        .groupBy("host", "t1", "t2").agg(F.sum("n").alias("n_common"))
-    )
+    sizes = texts.groupBy("host").agg(F.count("t1").alias("of"))
+    counts = lines.groupBy("host", "h").agg(F.countDistinct("t1", "t2").alias("n_docs"))
+    held, _ = small(cut(over_limit(counts, sizes, "n_docs", share, min_docs)), broadcast_rows)
+    hits = cut(lines.join(held, ["host", "h"]).groupBy("host", "t1", "t2", "pos").agg(*[F.max(c).alias(c) for c in ("h", "n", "before", "after")]))  # equal rows count once
+    over, _ = small(cut(over_limit(block_contexts(hits), sizes, "n_ctx", share, min_docs)), broadcast_rows)
+    common = cut(hits.join(over, ["host", "h"]).groupBy("host", "t1", "t2").agg(F.sum("n").alias("n_common")))
     f = features(F.col("row.text"))
     wide = packed.select("row", src, *text_key(), *[v.alias(f"f_{k}") for k, v in f.items()])
     key = ["host", "t1", "t2"]

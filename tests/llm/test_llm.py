@@ -295,6 +295,21 @@ def test_quality_boilerplate(spark):
     assert not any(kept[i] for i in range(30)) and all(kept[i] for i in kept if i >= 100)
 
 
+@pytest.mark.parametrize("n_lines", [3, 4, 6])
+@pytest.mark.parametrize("place", ["header", "footer"])
+def test_quality_blocks(spark, n_lines, place):
+    """Each line of a block at an end of the text counts, and a passage copied with its surroundings doesn't."""
+    rng = random.Random(5)
+    block = [words(rng, 20) for _ in range(n_lines)]
+    copied = [words(rng, 30) for _ in range(4)]
+    rows = [(i, "\n".join([*block, words(rng, 12)] if place == "header" else [words(rng, 12), *block]), "h") for i in range(30)]
+    rows += [(100 + i, "\n".join([words(rng, 25), "same", *copied, "same too", words(rng, 25)]), "h") for i in range(9)]
+    rows += [(200, "\n".join(copied), "h")] * 30 + [(300 + i, words(rng, 80), "h") for i in range(30)]
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i].n_common_words == 20 * n_lines and not got[i].kept for i in range(30))
+    assert all(r.n_common_words == 0 and r.kept for i, r in got.items() if i >= 100)
+
+
 def test_quality_by_shuffle(spark, docs):
     lines = "\n".join(["subscribe to our newsletter today", "all the news that we print"])
     more = spark.createDataFrame([(100 + i, f"{lines}\n{i} " + " ".join(f"v{i}x{k}" for k in range(8 * (i % 9))) + f"\n{lines}", "s1") for i in range(40)] * 2, DOCS)
