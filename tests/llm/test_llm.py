@@ -391,6 +391,26 @@ def test_empty_tables_and_clashing_names(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string, path int")).count() == 0
 
 
+def test_pipeline_near_copies(spark, sf):
+    """Of copies with edited words one stays if five-word shingles are alike by 0.8, both if not; against brute force."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    rows = []
+    for n, edits in [(100, 1), (100, 2), (100, 4), (300, 2), (300, 4), (300, 6), (300, 12), (1000, 5), (1000, 20), (1000, 40)] * 4:
+        t = words(rng, n).split(" ")
+        copy = list(t)
+        for x in rng.sample(range(n), edits):
+            copy[x] = f"z{x}"
+        rows += [(len(rows), " ".join(t)), (len(rows) + 1, " ".join(copy))]
+    sets = [{tuple(t.split(" ")[i : i + 5]) for i in range(len(t.split(" ")) - 4)} for _, t in rows]
+    alike = {i + 1 for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])}
+    left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert {r.doc_id for r in left.collect()} == set(range(len(rows))) - alike and 20 <= len(alike) < 40
+    many = [(i, " ".join(f"z{i}" if k == 7 + i % 300 else f"m{k}" for k in range(300))) for i in range(100)]
+    assert [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(many, "doc_id long, text string"), sf).collect()] == [0]
+
+
 def test_pipeline_stages(spark, docs, sf):
     import corpus_pipeline
 
