@@ -20,6 +20,27 @@ def shot_cuts(deltas: Column, min_len: int, level: float = CUT_LEVEL) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(deltas) - 1, F.lit(1))), F.array(F.lit(0)), lambda cuts, i: F.when((F.get(deltas, i) >= level) & (i - F.element_at(cuts, -1) >= min_len), F.concat(cuts, F.array(i))).otherwise(cuts))
 
 
+def shot_ends(frames: DataFrame, series: str, place: str, value: str, min_len: int, level: float = CUT_LEVEL, chunk: int = 4096) -> DataFrame:
+    """series, shots, last_cut: the number of shot_cuts and the last of them. place counts from 0 in each series. Each
+    chunk of frames is folded for every distance that the last cut before it can have (min_len stands for all beyond),
+    and of a whole series only these folds meet."""
+
+    def last(at, n):
+        return F.struct(at.cast("long").alias("last"), n.cast("long").alias("n"))
+
+    begin = F.col("_c") * chunk
+    cut = F.when((F.col(value) >= level) & (F.col(place) >= 1), F.col(place).cast("long"))
+    chunks = frames.groupBy(series, F.floor(F.col(place) / chunk).alias("_c")).agg(F.array_sort(F.collect_list(cut)).alias("_xs"))
+    folds = [F.aggregate("_xs", last(begin - age, F.lit(0)), lambda acc, x: F.when(x - acc["last"] >= min_len, last(x, acc["n"] + 1)).otherwise(acc)) for age in range(min_len + 1)]
+    whole = chunks.groupBy(series).agg(F.array_sort(F.collect_list(F.struct("_c", F.array(*folds).alias("f")))).alias("_fs"))
+
+    def step(acc, c):
+        f = F.get(c["f"], F.least(c["_c"] * chunk - acc["last"], F.lit(min_len)).cast("int"))
+        return F.when(f["n"] > 0, last(f["last"], acc["n"] + f["n"])).otherwise(acc)
+
+    return whole.withColumn("_s", F.aggregate("_fs", last(F.lit(0), F.lit(1)), step)).select(series, F.col("_s.n").cast("int").alias("shots"), F.col("_s.last").alias("last_cut"))
+
+
 def merge_intervals(segments: DataFrame, series: str, start: str, end: str, prob: str, gap: float = MERGE_GAP_S) -> DataFrame:
     """series, start, end, prob of runs of segments that begin less than gap after the furthest end so far."""
     w = Window.partitionBy(series).orderBy(start, end)

@@ -25,8 +25,7 @@ w(user_id, i, cut, cuts) AS (SELECT user_id, 0::BIGINT, 0::BIGINT, 1 FROM n UNIO
  FROM w JOIN s ON s.user_id = w.user_id AND s.i = w.i + 1)
 SELECT user_id, CAST(max(cuts) AS INT) AS shots, max(cut) AS last_cut FROM w GROUP BY user_id""")
 def shot_split(spark, sf: str) -> DataFrame:
-    s = derive(spark, sf, _SERIES).groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("d"))
-    return s.withColumn("cuts", segments.shot_cuts(F.col("d"), 3, 60.0)).select("user_id", F.size("cuts").alias("shots"), F.element_at("cuts", -1).cast("long").alias("last_cut"))
+    return segments.shot_ends(derive(spark, sf, _SERIES), "user_id", "i", "v", 3, 60.0)
 
 
 @query("merge_intervals", f"""WITH s AS ({duck(SEGMENTS)}), f AS (SELECT *, CASE WHEN s - max(e) OVER (PARTITION BY video ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < 0.5 THEN 0 ELSE 1 END AS new FROM s),

@@ -164,3 +164,20 @@ def test_class_condition_errors(spark):
 def test_streak_cut(spark):
     items = spark.createDataFrame([("s", i, k) for i, k in enumerate([True, True, False, True, True, True, False])], "s string, i int, k boolean")
     assert [r.i for r in segments.streak_cut(items, "s", "i", "k", 3).orderBy("i").collect()] == [0, 1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 4096])
+@pytest.mark.parametrize("min_len", [1, 3, 5])
+def test_shot_ends_by_chunks(spark, chunk, min_len):
+    """Chunks of any size give what a fold over the whole series gives, and no longer list is collected."""
+    rng = random.Random(17)
+    series = {k: [rng.choice([0.0, 50.0, 60.0, 90.0, None]) if k else 99.0 for _ in range(rng.randrange(1, 60))] for k in range(25)}
+    want = set()
+    for k, vs in series.items():
+        cuts = [0]
+        for i, v in enumerate(vs):
+            if i and v is not None and v >= 60 and i - cuts[-1] >= min_len:
+                cuts.append(i)
+        want.add((k, len(cuts), cuts[-1]))
+    df = spark.createDataFrame([(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)], "k long, i int, v double")
+    assert {tuple(r) for r in segments.shot_ends(df, "k", "i", "v", min_len, 60.0, chunk).collect()} == want
