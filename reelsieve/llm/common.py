@@ -59,10 +59,21 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: With it Spark removes the shuffle files of an execution that has ended; a checkpoint needs them no more.
+_REMOVE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder: a lost executor costs no recomputation of what is above."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """df, computed once and kept in the shared folder: a lost executor costs no recomputation of what is above, and the
+    shuffle files that led to it are removed."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(_REMOVE, "false")
+    spark.conf.set(_REMOVE, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(_REMOVE, before)
 
 
 def small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:

@@ -1,17 +1,15 @@
 """Quality rules: features of each text, and lines that too many documents of a host hold.
 
-Native. The cross-document rule hashes normalised lines (trimmed, lower-cased, white space squeezed) and counts, per
-host, the distinct documents that hold them. Documents with equal texts count once. Lines that enough documents hold
-form blocks where they follow each other, and documents whose block stands between the same lines count once too: a
-passage copied with its surroundings is no boilerplate, while each line of a menu or a footer is. A line over the limit is taken out in
-thought; a document of which too few words are left is rejected. The limit is a share of the host's documents, so it
+Native. The cross-document rule hashes normalised lines (trimmed, lower-cased, white space squeezed) once and counts,
+per host, the distinct documents that hold them; documents with equal texts count once. Lines over the limit are removed
+(``clean``), and a document of which too few words are left is rejected. The limit is a share of the host's documents, so it
 means the same at any size. Null text has no words and fails; null hosts form one host. Rows are judged by their host
 and text alone, so repeated rows and repeated or null ids get equal verdicts; other columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsieve.llm.common import HOT_PARTS, WS, cut, join_spread, let, pack, small, text_key, unpack, words
@@ -53,59 +51,67 @@ def features(text: Column) -> dict[str, Column]:
 
 
 def host_lines(packed: DataFrame, host: str) -> DataFrame:
-    """host, t1, t2, pos, h (hash of the normalised line), n (its words), before and after (hashes of its neighbours):
-    each line with a word."""
-    src = F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0")).alias("host")
-    lines = F.filter(F.split(F.regexp_replace(F.lower(F.coalesce("row.text", F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), " ?\n ?"), lambda x: F.btrim(x) != "")
-    full = packed.select(src, *text_key(), F.transform(lines, lambda x: F.struct(F.xxhash64(F.btrim(x)).alias("h"), F.size(F.split(F.btrim(x), " ")).cast("long").alias("n"))).alias("ls"))
-    at = full.select("host", "t1", "t2", "ls", F.posexplode("ls").alias("pos", "x"))
-    before, after = [F.coalesce(F.get("ls", F.col("pos") + d)["h"], F.lit(d)).alias(k) for k, d in (("before", -1), ("after", 1))]
-    return at.select("host", "t1", "t2", "pos", "x.h", "x.n", before, after)
-
-
-def over_limit(counts: DataFrame, sizes: DataFrame, held: str, share: float, min_docs: int) -> DataFrame:
-    """host, h of the lines whose count ``held`` is over the limit. sizes: host, of (its distinct documents)."""
-    return counts.filter(F.col(held) >= min_docs).join(sizes, "host").filter(F.col(held) > F.col("of") * share).select("host", "h")
-
-
-def block_contexts(hits: DataFrame) -> DataFrame:
-    """host, h, n_ctx: between how many different pairs of lines the blocks stand that hold the line."""
-    doc = Window.partitionBy("host", "t1", "t2")
-    starts = F.coalesce(F.col("pos") - F.lag("pos").over(doc.orderBy("pos")) > 1, F.lit(True)).cast("int")
-    runs = hits.withColumn("start", starts).withColumn("run", F.sum("start").over(doc.orderBy("pos")))
-    ends = runs.groupBy("host", "t1", "t2", "run").agg(F.xxhash64(F.min_by("before", "pos"), F.max_by("after", "pos")).alias("ctx"), F.collect_set("h").alias("hs"))
-    return ends.select("host", "ctx", F.explode("hs").alias("h")).groupBy("host", "h").agg(F.countDistinct("ctx").alias("n_ctx"))
+    """host, t1, t2, copies, ls: each distinct text of a host once; ls holds place, hash and words of its lines with a
+    word. The host is a 64-bit hash, so what is broadcast has rows of a known size."""
+    src = F.xxhash64(F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0"))).alias("host")
+    lines = F.split(F.regexp_replace(F.lower(F.coalesce("row.text", F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " "), " ?\n ?")
+    parts = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(F.btrim(x)).alias("h"), F.when(F.btrim(x) == "", 0).otherwise(F.size(F.split(F.btrim(x), " "))).alias("n")))
+    rows = packed.select(src, *text_key(), F.filter(parts, lambda x: x["n"] > 0).alias("ls"))
+    return rows.groupBy("host", "t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.first("ls").alias("ls"))
+
+
+def common_lines(packed: DataFrame, host: str, share: float, min_docs: int, broadcast_rows: int) -> tuple[DataFrame, bool]:
+    """host, t1, t2, copies, n_common (words), gone (places) of each text with lines over the limit; and if that is
+    broadcast. Lines of very many texts are dealt out where they can't be broadcast."""
+    texts = cut(host_lines(packed, host))
+    sizes, _ = small(cut(texts.groupBy("host").agg(F.count("t1").alias("of"))), broadcast_rows)
+    once = texts.select("host", F.explode(F.array_distinct("ls.h")).alias("h"))
+    counts = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+    held = cut(counts.join(sizes, "host").filter(F.col("n_docs") > F.col("of") * share).select("host", "h", "n_docs"))
+    lines = texts.select("host", "t1", "t2", "copies", F.explode("ls").alias("x")).select("host", "t1", "t2", "copies", "x.*")
+    over, few = small(held, broadcast_rows)
+    if few:
+        met = lines.join(over, ["host", "h"])
+    else:
+        total = held.agg(F.sum("n_docs")).first()[0] or 0
+        met = join_spread(lines, held, ["host", "h"], held.filter(F.col("n_docs") > total / HOT_PARTS), [F.col("t1")]).filter("n_docs IS NOT NULL")
+    common = met.groupBy("host", "t1", "t2").agg(F.first("copies").alias("copies"), F.sum("n").cast("long").alias("n_common"), F.collect_list("pos").alias("gone"))
+    return small(cut(common), broadcast_rows)
 
 
-def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
-    """docs with the features, n_common_words (words in lines over the limit), base_failed and kept. The lines over the
-    limit, and the texts that hold any, are each broadcast when they count at most ``broadcast_rows``, else joined by a
-    shuffle that deals out texts of very many copies."""
+def judged(docs: DataFrame, host: str, share: float, min_docs: int, least_left: float, broadcast_rows: int) -> DataFrame:
+    """row (docs' columns), features as f_*, n_common, gone, failed and kept."""
     packed = pack(docs)
-    src = F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0")).alias("host")
-    lines = host_lines(packed, host)
-    texts = cut(packed.select(src, *text_key()).groupBy("host", "t1", "t2").count())
-    sizes = texts.groupBy("host").agg(F.count("t1").alias("of"))
-    counts = lines.groupBy("host", "h").agg(F.countDistinct("t1", "t2").alias("n_docs"))
-    held, _ = small(cut(over_limit(counts, sizes, "n_docs", share, min_docs)), broadcast_rows)
-    hits = cut(lines.join(held, ["host", "h"]).groupBy("host", "t1", "t2", "pos").agg(*[F.max(c).alias(c) for c in ("h", "n", "before", "after")]))  # equal rows count once
-    over, _ = small(cut(over_limit(block_contexts(hits), sizes, "n_ctx", share, min_docs)), broadcast_rows)
-    common = cut(hits.join(over, ["host", "h"]).groupBy("host", "t1", "t2").agg(F.sum("n").alias("n_common")))
-    f = features(F.col("row.text"))
-    wide = packed.select("row", src, *text_key(), *[v.alias(f"f_{k}") for k, v in f.items()])
+    src = F.xxhash64(F.coalesce(F.col(f"row.{host}").cast("string"), F.lit("\0"))).alias("host")
+    common, few = common_lines(packed, host, share, min_docs, broadcast_rows)
+    wide = packed.select("row", src, *text_key(), *[v.alias(f"f_{k}") for k, v in features(F.col("row.text")).items()])
     key = ["host", "t1", "t2"]
-    common, few = small(common, broadcast_rows)
     if few:
-        joined = wide.join(common, key, "left")
+        joined = wide.join(common.drop("copies"), key, "left")
     else:
-        rows = texts.agg(F.sum("count")).first()[0] or 0
-        copied = texts.filter(F.col("count") > rows / HOT_PARTS).select(*key)  # texts of very many copies
-        salt = F.col("row.doc_id") if "doc_id" in docs.columns else F.col("t1")
-        joined = join_spread(wide, common, key, F.broadcast(copied).join(common, key, "left"), [salt])
+        rows = packed.count()
+        salt = F.col("row").getField(next(c for c in docs.columns if c.lower() == "doc_id")).cast("string") if any(c.lower() == "doc_id" for c in docs.columns) else F.rand(7)
+        joined = join_spread(wide, common.drop("copies"), key, common.filter(F.col("copies") > rows / HOT_PARTS).drop("copies"), [salt])
     n_common = F.coalesce("n_common", F.lit(0)).cast("long")
     failed = (F.col("f_n_words") < 50) | (100 * F.col("f_n_repeat_words") > 50 * F.col("f_n_words"))
     depleted = (F.col("f_n_words") - n_common) < least_left * F.col("f_n_words")
-    return unpack(joined, docs.columns, **{k: F.col(f"f_{k}") for k in f}, n_common_words=n_common, base_failed=failed, kept=~failed & ~depleted)
+    return joined.withColumns({"n_common": n_common, "failed": failed, "kept": ~failed & ~depleted})
+
+
+def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
+    """docs with the features, n_common_words (words in lines over the limit), base_failed and kept. The lines over the
+    limit, and the texts that hold any, are each broadcast when they count at most ``broadcast_rows`` (of a few dozen
+    bytes), else joined by a shuffle that deals out lines of very many texts and texts of very many copies."""
+    joined = judged(docs, host, share, min_docs, least_left, broadcast_rows)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return unpack(joined, docs.columns, **{k: F.col(f"f_{k}") for k in names}, n_common_words=F.col("n_common"), base_failed=F.col("failed"), kept=F.col("kept"))
+
+
+def clean(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
+    """The documents that are kept, without their lines over the limit; a document without any keeps its text as it is."""
+    joined = judged(docs, host, share, min_docs, least_left, broadcast_rows).filter("kept")
+    left = let(F.split("row.text", "\n"), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda i: F.get(ls, i)), "\n"))
+    return unpack(joined, docs.columns, text=F.when(F.size("gone") > 0, left).otherwise(F.col("row.text")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -122,8 +128,7 @@ g AS (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w), h AS (SELECT r
 r AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, tri) AS c FROM h),
 k AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM r WHERE c > 1) GROUP BY rid),
 l AS (SELECT rid, host, t, unnest(ns) AS line, generate_subscripts(ns, 1) AS pos FROM w),
-x AS (SELECT *, coalesce(lag(line) OVER q, chr(1)) || chr(2) || coalesce(lead(line) OVER q, chr(1)) AS ctx FROM l WINDOW q AS (PARTITION BY rid ORDER BY pos)),
-o AS (SELECT host, line, least(count(DISTINCT t), count(DISTINCT ctx)) AS held FROM x GROUP BY host, line), z AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
+o AS (SELECT host, line, count(DISTINCT t) AS held FROM l GROUP BY host, line), z AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 f AS (SELECT host, line FROM o JOIN z USING (host) WHERE held >= 10 AND held > 0.01 * n),
 m AS (SELECT rid, sum(len(string_split(line, ' ')))::BIGINT AS n_common FROM l JOIN f USING (host, line) GROUP BY rid),
 a AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,

@@ -14,9 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import cut
-from reelsieve.llm.components import components
-from reelsieve.llm.simhash import _LOW
+from reelsieve.llm.common import HOT_PARTS, cut, join_spread
+
+#: Bytes with A-Z lower-cased.
+LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 BANDS, ROWS, FEW = 24, 4, 8
 
@@ -26,7 +27,7 @@ def shingle_hashes(text: str | None, width: int):
     import numpy as np
     import xxhash
 
-    ws = (text or "").encode("utf-8", "surrogatepass").translate(_LOW).split()
+    ws = (text or "").encode("utf-8", "surrogatepass").translate(LOW).split()
     shingles = map(b" ".join, zip(*(ws[i:] for i in range(width)))) if len(ws) >= width else [b" ".join(ws)]
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64))
 
@@ -55,16 +56,23 @@ def band_keys(texts: DataFrame, width: int) -> DataFrame:
     return cut(texts.select("node", "text").mapInArrow(rows, "node long, bands array<long>")).select("node", F.explode("bands").alias("band"))
 
 
-def similar_pairs(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Edges (u, v) between nodes of texts (node, text; each node once) that reach the similarity."""
+def similar_pairs(texts: DataFrame, width: int, similarity: float, known: DataFrame | None = None) -> DataFrame:
+    """Edges (u, v) between nodes of texts (node, text; each node once) that reach the similarity. known: t1, root of each
+    node; pairs of one root are passed over."""
     bands = band_keys(texts, width)
-    heads = bands.groupBy("band").agg(F.count("node").alias("times"), F.min_by("node", F.xxhash64("node", "band")).alias("u")).filter("times > 1")
-    met = bands.join(heads, "band")
-    star = met.filter(F.col("times") > FEW).select("u", F.col("node").alias("v"))
-    held = met.filter(F.col("times") <= FEW).groupBy("band").agg(F.collect_list("node").alias("xs"))
-    all_pairs = held.select("xs", F.explode("xs").alias("u")).select("u", F.explode("xs").alias("v"))
-    pairs = cut(star.unionByName(all_pairs).filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    both = pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v")
+    if known is not None:
+        bands = bands.join(known.select(F.col("t1").alias("node"), "root"), "node")
+    else:
+        bands = bands.withColumn("root", F.col("node"))
+    one = F.min_by(F.struct("node", "root"), F.xxhash64("node", "band"))
+    heads = bands.groupBy("band").agg(F.count("node").alias("times"), one.alias("head"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    met = join_spread(bands, heads.select("band", "times", "head"), ["band"], _hot(heads, bands), [F.col("node")]).filter("times IS NOT NULL")
+    star = met.filter((F.col("times") > FEW) & (F.col("root") != F.col("head.root"))).select(F.col("head.node").alias("u"), F.col("node").alias("v"))
+    held = met.filter(F.col("times") <= FEW).groupBy("band").agg(F.collect_list(F.struct("node", "root")).alias("xs"))
+    all_pairs = held.select("xs", F.explode("xs").alias("x")).select("x", F.explode("xs").alias("y")).filter("x.root <> y.root").select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
+    pairs = cut(star.unionByName(all_pairs).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    one, two = (texts.select(F.col("node").alias(n), F.col("text").alias(t)) for n, t in (("u", "a"), ("v", "b")))
+    both = pairs.join(one, "u").join(two, "v")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -80,8 +88,6 @@ def similar_pairs(texts: DataFrame, width: int, similarity: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(rows, "u long, v long")
 
 
-def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """node, root: components of near-copies among docs' texts (node, a key of the text; text). A node without any has
-    no row."""
-    texts = docs.select("node", "text").dropDuplicates(["node"])
-    return components(similar_pairs(texts, width, similarity))
+def _hot(heads: DataFrame, bands: DataFrame) -> DataFrame:
+    """The heads of bands with over one in HOT_PARTS of all rows."""
+    return heads.filter(F.col("times") > bands.count() / HOT_PARTS).select("band", "times", "head")

@@ -8,6 +8,9 @@ thousands of copies costs no more than its distinct fingerprints.
 
 Null text is empty; texts without words have fingerprint zero and link like any other. Rows with null ids take part; a
 component's id is its least id (null only where all ids are). Other columns pass through; ties don't arise.
+
+Five-word shingles that are alike by 0.8 give fingerprints some ten bits apart, where tiles can't skip much. So with a
+similarity the groups of the tiled comparison are joined by an exact check of whole shingle sets (``shingles.py``).
 """
 
 from __future__ import annotations
@@ -20,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsieve.llm.common import HOT_PARTS, cut, join_spread
+from reelsieve.llm import shingles
+from reelsieve.llm.common import HOT_PARTS, cut, join_spread, text_key, unpack
 from reelsieve.llm.components import components
 
-_LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_LOW = shingles.LOW
 
 
 def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
@@ -42,19 +46,18 @@ def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with fp (the fingerprint's 64 bits as a long) in place of the text."""
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "fp")], F.col(f"`{text_col}`").alias("_text"))
-    schema = T.StructType([*kept.schema.fields[:-1], T.StructField("fp", T.LongType())])
+def fingerprints(packed: DataFrame, width: int = 3) -> DataFrame:
+    """row, id, t1, text -> row, id, t1, fp (the fingerprint's 64 bits as a long)."""
+    schema = T.StructType([*packed.select("row", "id", "t1").schema.fields, T.StructField("fp", T.LongType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            fps = np.array([fingerprint(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps, pa.int64())], schema.names)
+            fps = np.array([fingerprint(t or "", width) for t in batch.column(3).to_pylist()], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())], ["row", "id", "t1", "fp"])
 
-    return kept.mapInArrow(rows, schema)
+    return packed.select("row", "id", "t1", "text").mapInArrow(rows, schema)
 
 
 def _quarters(fp: Column) -> list[Column]:
@@ -137,19 +140,38 @@ def links(fps: DataFrame, radius: int = 3, tile: int = 1024) -> DataFrame:
     return pairs.mapInArrow(rows, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = 3) -> DataFrame:
-    """Columns of docs but the text, with fp, component_id and component_rows."""
-    out = [c for c in docs.columns if c not in (text_col, "fp", "component_id", "component_rows")]
-    prints = cut(fingerprints(docs.select(*out, text_col), text_col))
-    nodes = cut(prints.groupBy("fp").agg(F.min(id_col).alias("low"), F.count("fp").alias("rows")))
+def _joined_by_similarity(texts: DataFrame, roots: DataFrame, width: int, similarity: float) -> DataFrame:
+    """fp, root: as roots (a row for each fp), with groups joined where texts (t1, fp, text) of two of them reach the similarity."""
+    placed = cut(texts.join(roots, "fp").select("t1", "root"))
+    pairs = shingles.similar_pairs(texts.select(F.col("t1").alias("node"), "text"), width, similarity, placed)
+    ends = pairs.join(placed.select(F.col("t1").alias("u"), F.col("root").alias("a")), "u").join(placed.select(F.col("t1").alias("v"), F.col("root").alias("b")), "v")
+    far = components(ends.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return roots.join(far.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left").select("fp", F.coalesce("far", "root").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = 3, width: int = 3, similarity: float | None = None) -> DataFrame:
+    """Columns of docs but the text, with fp, component (a fingerprint that stands for it), component_id and component_rows.
+    Columns of these names, in any case, are replaced. similarity: if given, texts whose sets of ``width``-word shingles are alike by it link too, though their
+    fingerprints differ by more than the radius (at 0.8, most do)."""
+    gone = {text_col.lower(), "fp", "component", "component_id", "component_rows"}
+    out = [c for c in docs.columns if c.lower() not in gone]
+    packed = docs.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in out]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text_key(f"`{text_col}`")[0], F.col(f"`{text_col}`").alias("text"))
+    prints = cut(fingerprints(packed, width))
+    nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("low"), F.count("fp").alias("rows")))
     roots = components(links(nodes.select("fp"), radius))
-    placed = cut(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    roots = nodes.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    if similarity is not None:
+        of = prints.groupBy("t1").agg(F.first("fp").alias("fp"))
+        texts = packed.groupBy("t1").agg(F.first("text").alias("text")).join(of, "t1")
+        roots = _joined_by_similarity(texts, cut(roots), width, similarity)
+    placed = cut(nodes.join(roots, "fp"))
     groups = cut(placed.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("rows").alias("component_rows"), F.count("fp").alias("prints")))
     total, distinct = groups.agg(F.sum("component_rows"), F.sum("prints")).first()
     hot = groups.filter(F.col("prints") > (distinct or 0) / HOT_PARTS).drop("prints")
-    known = cut(join_spread(placed, groups.drop("prints"), ["root"], hot, [F.col("fp")]).select("fp", "rows", "component_id", "component_rows"))
+    known = cut(join_spread(placed, groups.drop("prints"), ["root"], hot, [F.col("fp")]).select("fp", "rows", F.col("root").alias("component"), "component_id", "component_rows"))
     hot = known.filter(F.col("rows") > (total or 0) / HOT_PARTS).drop("rows")
-    return join_spread(prints, known.drop("rows"), ["fp"], hot, [F.col(f"`{id_col}`")]).select(*out, "fp", "component_id", "component_rows")
+    met = join_spread(prints.select("row", "id", "fp"), known.drop("rows"), ["fp"], hot, [F.col("id")])
+    return unpack(met, out, fp=F.col("fp"), component=F.col("component"), component_id=F.col("component_id"), component_rows=F.col("component_rows"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

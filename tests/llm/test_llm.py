@@ -295,19 +295,25 @@ def test_quality_boilerplate(spark):
     assert not any(kept[i] for i in range(30)) and all(kept[i] for i in kept if i >= 100)
 
 
-@pytest.mark.parametrize("n_lines", [3, 4, 6])
+@pytest.mark.parametrize("n_lines", [3, 4, 5, 6])
 @pytest.mark.parametrize("place", ["header", "footer"])
 def test_quality_blocks(spark, n_lines, place):
-    """Each line of a block at an end of the text counts, and a passage copied with its surroundings doesn't."""
+    """Each line of a block counts the distinct documents that hold it; copies of one text count once."""
     rng = random.Random(5)
-    block = [words(rng, 20) for _ in range(n_lines)]
-    copied = [words(rng, 30) for _ in range(4)]
-    rows = [(i, "\n".join([*block, words(rng, 12)] if place == "header" else [words(rng, 12), *block]), "h") for i in range(30)]
-    rows += [(100 + i, "\n".join([words(rng, 25), "same", *copied, "same too", words(rng, 25)]), "h") for i in range(9)]
-    rows += [(200, "\n".join(copied), "h")] * 30 + [(300 + i, words(rng, 80), "h") for i in range(30)]
-    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, DOCS)).collect()}
-    assert all(got[i].n_common_words == 20 * n_lines and not got[i].kept for i in range(30))
-    assert all(r.n_common_words == 0 and r.kept for i, r in got.items() if i >= 100)
+    block = [words(rng, 40) for _ in range(n_lines)]
+    few = [words(rng, 30) for _ in range(4)]
+    rows = [(i, "\n".join([*block, words(rng, 24)] if place == "header" else [words(rng, 24), *block]), "h") for i in range(40)]
+    rows += [(100 + i, "\n".join([words(rng, 25), *few, words(rng, 25)]), "h") for i in range(8)]
+    rows += [(200, "\n".join(few), "h")] * 30 + [(300 + i, words(rng, 80), "h") for i in range(30)]
+    rows += [(400 + i, "\n".join([*block, words(rng, 200)]), "h") for i in range(3)] + [(500, "\n".join(block) + "\nit goes on " + words(rng, 60), "g")]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert all(got[i].n_common_words == 40 * n_lines and not got[i].kept for i in range(40))
+    assert all(r.n_common_words == 0 and r.kept for i, r in got.items() if 100 <= i < 400 or i == 500)
+    assert all(got[i].n_common_words == 40 * n_lines and got[i].kept for i in range(400, 403))
+    left = {r.doc_id: r.text for r in quality.clean(df).collect()}
+    assert set(left) == {i for i in got if got[i].kept}
+    assert all(left[i] == (t.split("\n")[-1] if 400 <= i < 500 else t) for i, t, _ in rows if i in left)
 
 
 def test_quality_by_shuffle(spark, docs):
@@ -391,6 +397,15 @@ def test_empty_tables_and_clashing_names(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string, path int")).count() == 0
 
 
+def test_names_without_case(spark):
+    """Columns named as an operator's own, in other case too, clash with nothing."""
+    df = spark.createDataFrame([(1, "a b c", 1, 2, 3, 4, 5), (2, "a b c", 1, 2, 3, 4, 5)], "doc_id long, text string, _hot int, FP int, Component_ID int, _text int, t1 int")
+    got = simhash.near_duplicates(df).collect()
+    assert [(r.doc_id, r._hot, r._text, r.t1, r.component_id) for r in sorted(got)] == [(1, 1, 4, 5, 1), (2, 1, 4, 5, 1)]
+    host = spark.createDataFrame([(1, "a b c", "h", 7, 8, 9)], "doc_id long, text string, source string, HOST int, f_n_words int, Gone int")
+    assert [(r.HOST, r.f_n_words, r.Gone, r.n_words) for r in quality.judge(host).collect()] == [(7, 8, 9, 3)]
+
+
 def test_pipeline_near_copies(spark, sf):
     """Of copies with edited words one stays if five-word shingles are alike by 0.8, both if not; against brute force."""
     import corpus_pipeline
@@ -417,6 +432,7 @@ def test_pipeline_stages(spark, docs, sf):
     full = docs.withColumns({"lang": F.lit("en"), "n_chars": F.length("text").cast("long")}).select("doc_id", "text", "lang", "source", "n_chars")
     judged = corpus_pipeline.quality_stage(spark, full, sf)
     assert judged.columns == full.columns and judged.count() == quality.judge(docs).filter("kept").count()
+    assert all(r.n_chars == len(r.text) for r in judged.collect())
     lines = corpus_pipeline.line_stage(spark, full, sf)
     assert lines.columns == full.columns and lines.count() == full.count()
     near = corpus_pipeline.near_duplicate_stage(spark, full, sf)
