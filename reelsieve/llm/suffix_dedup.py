@@ -2,12 +2,14 @@
 
 A suffix array of all text is too much for one task, so suffixes are dealt out by content. A string's anchor is the least
 hashed 32-byte gram in it (the first of equal ones): copies have it at the same place. The strings of one anchor stand
-side by side; the text they cover is their span. Counting anchors by their gram tells which strings can have copies, and
-spans that stand elsewhere as a whole are settled by a count. The others meet by their gram: their suffixes from the
-anchor on, as sequences of 32-byte blocks, are sorted into a suffix array by linear grouping, and a string is a candidate
-if its blocks are a common prefix of two neighbours. An exact check follows: candidates' hashes over all their bytes (64
-bits, besides the 64 of the gram). A gram with very many different spans is split: the hashes of its strings are counted
-by a pre-aggregated shuffle, in no one task.
+side by side; the text they cover is their span. Only spans whose gram is some other span's too go on, and spans that are
+equal as a whole are one with a count. A gram can still have any number of different spans, so each is cut into parts of
+32 strings, which share a core of 369 bytes; parts with a core of their own are done, and equal parts are one with a count.
+The different parts of a core meet in one task. Their bytes before and after the core, with the core as one symbol, are
+sorted into a suffix array by linear grouping (``suffix_array.py``), and a string is repeated if its suffix has all its
+symbols in common with a neighbour. A core with over ``most`` different parts is dealt out by longer cores first (397 bytes,
+then whole strings); no group is ever dropped or cut short. Grams, spans, cores and parts are compared by 64-bit
+hashes, which the next step adds to; the bytes around a core are compared themselves.
 
 Strings are judged on the input. Null text is empty; texts shorter than the length lose nothing. Rows with equal ids and
 texts are copies of each other and both lose what repeats; so do repeated strings inside one text, overlapping ones too.
@@ -21,14 +23,18 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelsieve.llm.common import cut, doc_key, pack, unpack
-from reelsieve.llm.suffix_array import suffix_array
+from reelsieve.llm.common import HOT_PARTS, cut, doc_key, join_spread, pack, text_key, unpack
+from reelsieve.llm.suffix_array import common_prefixes, suffix_array
 
 GRAM = 32
+#: Strings of a part, at first and when dealt out further.
+WIDTHS = (32, 4, 1)
 #: Bytes scanned at once; memory is about 100 times this.
 PIECE = 1 << 18
 _POS = (1 << 31) - 1
@@ -105,7 +111,9 @@ def spans(data: bytes, ends: list[int], length: int):
 
 
 def _scan(keyed: DataFrame, length: int) -> DataFrame:
-    """key, span, did, t, at, n, off: a row for each span; at: of its first string in the text."""
+    """rid (a number of the row), did, t1, t2 and, as arrays, key, span, at, n, off of its spans; at: of a span's first
+    string in the text. A very long text gives several rows of one rid."""
+    names = ["rid", "did", "t1", "t2", "keys", "spans", "ats", "ns", "offs"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -113,17 +121,18 @@ def _scan(keyed: DataFrame, length: int) -> DataFrame:
         def flush(held: list) -> pa.RecordBatch:
             doc, first, n, off, key, whole = spans(b"".join(x[0] for x in held), np.cumsum([len(x[0]) for x in held]), length)
             begin = np.cumsum([0, *(len(x[0]) for x in held)])[:-1]
-            base, did, t = (np.array([x[i] for x in held], np.int64) for i in (1, 2, 3))
-            at = first - begin[doc] + base[doc]
-            cols = [key.view(np.int64), whole.view(np.int64), did[doc], t[doc].astype(np.int32), at.astype(np.int32), n.astype(np.int32), off.astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "span", "did", "t", "at", "n", "off"])
+            at = first - begin[doc] + np.array([x[1] for x in held], np.int64)[doc]
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(doc, minlength=len(held)))].astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (key.view(np.int64), whole.view(np.int64), at.astype(np.int32), n.astype(np.int32), off.astype(np.int32))]
+            return pa.RecordBatch.from_arrays([*(pa.array([x[i] for x in held], pa.int64()) for i in (2, 3, 4, 5)), *lists], names)
 
-        held, size = [], 0
+        held, size, rid = [], 0, TaskContext.get().partitionId() << 36
         for batch in batches:
-            for did, t, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for did, t1, t2, text in zip(*(c.to_pylist() for c in batch.columns)):
+                rid += 1
                 for base in range(0, max(0, len(text) - length + 1), PIECE):
                     piece = text[base : base + PIECE + length - 1]
-                    held.append((piece, base, did, t))
+                    held.append((piece, base, rid, did, t1, t2))
                     size += len(piece)
                     if size >= PIECE:
                         yield flush(held)
@@ -131,126 +140,198 @@ def _scan(keyed: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush(held)
 
-    return keyed.select("did", "t", "text").mapInArrow(rows, "key long, span long, did long, t int, at int, n int, off int")
+    return keyed.select("did", "t1", "t2", "text").mapInArrow(rows, "rid long, did long, t1 long, t2 long, keys array<long>, spans array<long>, ats array<int>, ns array<int>, offs array<int>")
 
 
-def matches(members: list[tuple], length: int) -> list[tuple[int, int, int]]:
-    """members: (key, offset of the anchor, strings, bytes of the span). (member, first string, strings) of each run of
-    strings that another member has too."""
+#: A part: the strings at + 0, 1, ... of row rid that have the core; left and right are the bytes around it.
+_PART = "core long, part long, rid long, at int, strings int, left binary, right binary, single boolean"
+_NAMES = [c.split()[0] for c in _PART.split(", ")]
+
+
+def _binary(data, lo, hi) -> pa.Array:
+    """data[lo:hi] of each row."""
     import numpy as np
 
-    data = b"".join(m[3] for m in members)
-    size = np.array([len(m[3]) for m in members], np.int64)
-    begin = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
-    off, n = np.array([m[1] for m in members], np.int64), np.array([m[2] for m in members], np.int64)
-    key = np.array([m[0] for m in members], np.int64)
-    h = Hashes(data)
-    # blocks from the anchor on, as numbers in the order of their hashes; 0 ends a member
-    blocks = np.minimum((size - off) // GRAM, length // GRAM)
-    row = np.repeat(np.arange(len(members)), blocks)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    lo = (begin + off)[row] + GRAM * nth
-    text = np.zeros(len(row) + len(members), np.int64)
-    where = np.arange(len(row)) + row
-    text[where] = np.unique(h.of(lo, lo + GRAM), return_inverse=True)[1].reshape(-1) + 1
-    starts = np.cumsum(blocks + 1) - (blocks + 1)
-    member = np.full(len(text), -1, np.int64)
-    member[starts] = np.arange(len(members))
-    symbols = text.tolist()
-    order = member[np.asarray(suffix_array(symbols), np.int64)]
-    order = order[order >= 0].tolist()
-    best = np.zeros(len(members), np.int64)
-    begins, many = starts.tolist(), blocks.tolist()
-    for x, y in zip(order, order[1:]):
-        if key[x] == key[y]:
-            a, b, c, most = begins[x], begins[y], 0, min(many[x], many[y])
-            while c < most and symbols[a + c] == symbols[b + c]:
-                c += 1
-            best[x], best[y] = max(best[x], c), max(best[y], c)
-    # string i of a member has (length - off + i) // GRAM whole blocks from the anchor on
-    some = np.clip(GRAM * best + GRAM - length + off, 0, n)
-    row = np.repeat(np.arange(len(members)), some)
-    i = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
-    at = begin[row] + i
-    both = _mix(h.of(at, at + length) ^ key[row].view(np.uint64))
-    _, which, times = np.unique(both, return_inverse=True, return_counts=True)
-    dup = np.flatnonzero(times[which.reshape(-1)] > 1)
-    if not len(dup):
-        return []
-    cuts = np.flatnonzero(np.concatenate([[True], (row[dup][1:] != row[dup][:-1]) | (i[dup][1:] != i[dup][:-1] + 1)]))
-    runs = np.diff(np.concatenate([cuts, [len(dup)]]))
-    return list(zip(row[dup][cuts].tolist(), i[dup][cuts].tolist(), runs.tolist()))
-
-
-def _sorted_groups(members: DataFrame, length: int, batch_bytes: int = 1 << 21) -> DataFrame:
-    """did, t, lo, hi: repeated stretches of members that stand once (copies = 1), by suffix arrays over whole groups."""
+    size = hi - lo
+    ends = np.r_[0, np.cumsum(size)]
+    at = np.arange(ends[-1]) - np.repeat(ends[:-1] - lo, size)
+    return pa.Array.from_buffers(pa.binary(), len(lo), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[at])])
+
+
+def first_parts(key, rid, at, n, off, single, texts: list[bytes], length: int, width: int) -> pa.RecordBatch:
+    """The parts of spans. A string whose anchor stands e bytes from its start belongs to part e // width of its span;
+    all strings of a part share its core of length - width + 1 bytes."""
+    import numpy as np
+
+    data = b"".join(texts)
+    h, flat = Hashes(data), np.frombuffer(data, np.uint8)
+    begin = np.cumsum([0, *map(len, texts)])[:-1].astype(np.int64)
+    low, high = (off - n + 1) // width, off // width
+    count = high - low + 1
+    row = np.repeat(np.arange(len(n)), count)
+    k = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    core = (begin + off)[row] - k * width
+    lo, hi = np.maximum(core - width + 1, begin[row]), np.minimum(core, (begin + n - 1)[row])
+    end = core + length - width + 1
+    keys = _mix(h.of(core, end) ^ key[row].view(np.uint64) ^ k.astype(np.uint64))
+    part = _mix(h.of(lo, hi + length) ^ keys ^ (core - lo).astype(np.uint64))
+    cols = [keys.view(np.int64), part.view(np.int64), rid[row], (at[row] + lo - begin[row]).astype(np.int32), (hi - lo + 1).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([*map(pa.array, cols), _binary(flat, lo, core), _binary(flat, end, hi + length), pa.array(single[row])], _NAMES)
+
+
+def finer_parts(core: int, rid: int, at: int, strings: int, left: bytes, right: bytes, single: bool, width: int, finer: int) -> Iterator[tuple]:
+    """The parts of a part, with cores of width - finer more bytes."""
+    a = len(left)
+    for q in range((a - strings + 1) // finer, a // finer + 1):
+        near, far = max(q * finer, a - strings + 1), min(q * finer + finer - 1, a)  # bytes before the core of the last and the first string
+        more = (left[a - q * finer :], right[: width - (q + 1) * finer])
+        outer = (left[a - far : a - q * finer], right[width - (q + 1) * finer : width - 1 - near])
+        inner = xxhash.xxh64_intdigest(b"%d:" % len(more[0]) + more[0] + more[1], core & (2**64 - 1))
+        part = xxhash.xxh64_intdigest(b"%d:" % len(outer[0]) + outer[0] + outer[1], inner)
+        yield _signed(inner), _signed(part), rid, at + a - far, far - near + 1, *outer, single
+
+
+def _signed(x: int) -> int:
+    return x - 2**64 if x >= 2**63 else x
+
+
+def _parts(members: DataFrame, length: int, width: int) -> DataFrame:
+    """members: rid, key, at, n, off, single, bytes (of the span)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(held: list) -> pa.RecordBatch:
-            found = [(held[m][4], held[m][5], held[m][6] + i, held[m][6] + i + run + length - 1) for m, i, run in matches(held, length) if held[m][7] == 1]
-            return pa.RecordBatch.from_pylist([dict(zip(("did", "t", "lo", "hi"), f)) for f in found], schema=pa.schema([("did", pa.int64()), ("t", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())]))
+        import numpy as np
 
-        held, size = [], 0
         for batch in batches:
-            for r in zip(*(c.to_pylist() for c in batch.columns)):
-                if size > batch_bytes and held[-1][0] != r[0]:
-                    yield flush(held)
-                    held, size = [], 0
-                held.append(r)
-                size += len(r[3])
-        if held:
-            yield flush(held)
+            for lo in range(0, batch.num_rows, 512):
+                b = batch.slice(lo, 512)
+                rid, key, at, n, off = (b.column(i).to_numpy().astype(np.int64) for i in range(5))
+                yield first_parts(key, rid, at, n, off, b.column(5).to_numpy(zero_copy_only=False), b.column(6).to_pylist(), length, width)
 
-    cols = members.select("key", "off", "n", "bytes", "did", "t", "at", "copies")
-    return cols.repartition("key").sortWithinPartitions("key").mapInArrow(rows, "did long, t int, lo int, hi int")
+    return members.select("rid", "key", "at", "n", "off", "single", "bytes").mapInArrow(rows, _PART)
 
 
-def _split_groups(members: DataFrame, length: int) -> DataFrame:
-    """As _sorted_groups, for grams with very many spans: strings' hashes are counted by a shuffle."""
+def _finer(parts: DataFrame, width: int, finer: int) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [x for r in zip(*(c.to_pylist() for c in batch.columns)) for x in finer_parts(*r, width, finer)]
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], _NAMES)
+
+    return parts.select("core", "rid", "at", "strings", "left", "right", "single").mapInArrow(rows, _PART)
+
+
+def matches(members: list[tuple], width: int) -> list[tuple[int, int, int]]:
+    """members: (core, strings, left, right). (member, first string, strings) of each run of strings that another member
+    has too: suffixes that have ``width`` symbols, the core among them, in common with a neighbour in the suffix array."""
+    text: list[int] = []
+    begins = []
+    cores: dict[int, int] = {}
+    for core, _, left, right in members:
+        begins.append(len(text))
+        text += [b + 1 for b in left]
+        text.append(257 + cores.setdefault(core, len(cores)))  # the core is one symbol
+        text += [b + 1 for b in right]
+        text.append(0)
+    order = suffix_array(text)
+    common = common_prefixes(text, order)
+    again = bytearray(len(text))
+    for k in range(1, len(order)):
+        if common[k] >= width:
+            again[order[k - 1]] = again[order[k]] = 1
+    out = []
+    for m, (_, strings, _, _) in enumerate(members):
+        i, hits = 0, again[begins[m] : begins[m] + strings]
+        while (i := hits.find(1, i)) >= 0:
+            j = hits.find(0, i)
+            j = strings if j < 0 else j
+            out.append((m, i, j - i))
+            i = j
+    return out
+
+
+def _sorted_groups(kinds: DataFrame, length: int, width: int, batch_rows: int = 4096) -> DataFrame:
+    """rid, lo, hi: repeated stretches of parts that stand once, by suffix arrays over whole cores."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+        def flush(held: list) -> pa.RecordBatch:
+            found = [(held[m][4], held[m][5] + i, held[m][5] + i + run + length - 1) for m, i, run in matches([r[:4] for r in held], width) if held[m][6]]
+            cols = zip(*found) if found else ([], [], [])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], ["rid", "lo", "hi"])
 
-        names = ["key", "hash", "did", "t", "at", "copies"]
+        held: list[tuple] = []
         for batch in batches:
-            for key, n, data, did, t, at, copies in zip(*(c.to_pylist() for c in batch.columns)):
-                i = np.arange(n)
-                hashes = Hashes(data).of(i, i + length).view(np.int64)
-                cols = [np.full(n, key), hashes, np.full(n, did), np.full(n, t, np.int32), (at + i).astype(np.int32), np.full(n, copies)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
-
-    strings = members.select("key", "n", "bytes", "did", "t", "at", "copies").mapInArrow(rows, "key long, hash long, did long, t int, at int, copies long")
-    strings = cut(strings)
-    again = strings.groupBy("key", "hash").agg(F.count("at").alias("spans")).filter("spans > 1")
-    return strings.filter("copies = 1").join(again, ["key", "hash"]).select("did", "t", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
-
-
-def repeated(keyed: DataFrame, length: int = 400, split: int = 1024) -> DataFrame:
-    """keyed: did, t, text (binary). did, t, cuts (array of lo, hi): bytes covered by repeated strings."""
-    rows = _scan(keyed, length)
-    often = rows.groupBy("key").agg(F.count("at").alias("of_key")).filter("of_key > 1").select("key")
-    hits = cut(rows.join(often, "key"))
-    one = F.struct("did", "t", "at", "n", "off")
-    kinds = hits.groupBy("key", "span").agg(F.count("at").alias("copies"), F.min(one).alias("one"))
-    kinds = cut(kinds.join(kinds.groupBy("key").agg(F.count("span").alias("kinds")), "key"))
-    whole = hits.join(kinds.filter("copies > 1").select("key", "span"), ["key", "span"]).select("did", "t", F.col("at").alias("lo"), (F.col("at") + F.col("n") + (length - 1)).alias("hi"))
-    lists = kinds.filter("kinds > 1").groupBy("one.did", "one.t").agg(F.collect_list(F.struct("key", "copies", "kinds", "one.at", "one.n", "one.off")).alias("spans"))
-    members = keyed.join(lists, ["did", "t"]).select("did", "t", "text", F.explode("spans").alias("s"))
-    members = members.select("did", "t", "s.*", F.expr(f"substring(text, s.at + 1, s.n + {length - 1})").alias("bytes"))
-    members = cut(members)
-    parts = [whole, _sorted_groups(members.filter(F.col("kinds") <= split), length), _split_groups(members.filter(F.col("kinds") > split), length)]
-    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return every.groupBy("did", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
-
-
-def dedup_substrings(docs: DataFrame, length: int = 400, split: int = 1024, digests: bool = False) -> DataFrame:
+            for r in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(held) >= batch_rows and held[-1][0] != r[0]:
+                    yield flush(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield flush(held)
+
+    cols = kinds.select("core", "strings", "left", "right", "rid", "at", "single")
+    return cols.repartition("core").sortWithinPartitions("core").mapInArrow(rows, "rid long, lo int, hi int")
+
+
+def _counted(rows: DataFrame, counts: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """rows with n from counts (keys, n) where they have one; rows of keys with very many are dealt out."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return join_spread(rows, counts, keys, counts.filter(F.col("n") > total / HOT_PARTS), [F.col(salt)]).filter("n IS NOT NULL")
+
+
+def repeated(keyed: DataFrame, length: int = 400, most: int = 4096) -> DataFrame:
+    """keyed: did, t1, t2, text (binary). did, t1, t2, cuts (array of lo, hi): bytes covered by repeated strings. most:
+    kinds of parts in a suffix array; cores with more are dealt out by longer cores."""
+    scanned = cut(_scan(keyed, length))
+    one = scanned.select("rid", F.explode(F.arrays_zip("keys", "spans", "ats", "ns", "offs")).alias("s"))
+    rows = one.select("rid", F.col("s.keys").alias("key"), F.col("s.spans").alias("span"), F.col("s.ats").alias("at"), F.col("s.ns").alias("n_strings"), F.col("s.offs").alias("off"))
+    often = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    hits = cut(_counted(rows, often, ["key"], "rid").drop("n"))
+    kinds = cut(hits.groupBy("key", "span").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "at", "n_strings", "off")).alias("one")))
+    copied = kinds.filter("copies > 1").select("key", "span", F.col("copies").alias("n"))
+    whole = _counted(hits, copied, ["key", "span"], "rid").select("rid", F.col("at").alias("lo"), (F.col("at") + F.col("n_strings") + (length - 1)).alias("hi"))
+    found = [cut(whole)]
+    mixed = cut(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    open_ = _counted(kinds, mixed, ["key"], "span").select("key", (F.col("copies") == 1).alias("single"), "one.*")
+    ids = scanned.select("rid", "did", "t1", "t2").distinct()
+    lists = open_.join(ids, "rid").groupBy("did", "t1", "t2").agg(F.collect_list(F.struct("rid", "key", "at", F.col("n_strings").alias("n"), "off", "single")).alias("spans"))
+    members = keyed.join(lists, ["did", "t1", "t2"]).select("text", F.explode("spans").alias("s"))
+    members = members.select("s.*", F.expr(f"substring(text, s.at + 1, s.n + {length - 1})").alias("bytes"))
+    widths = [w for w in WIDTHS if w < length]
+    parts = _parts(members, length, widths[0])
+    for width, finer in zip(widths, [*widths[1:], None]):
+        parts = cut(parts)
+        by_core = parts.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        parts = cut(_counted(parts, cut(by_core), ["core"], "rid").drop("n"))
+        first = F.min(F.struct("rid", "at", "strings", "left", "right", "single")).alias("one")
+        kinds = cut(parts.groupBy("core", "part").agg(F.count(F.lit(1)).alias("n"), first))
+        copied = kinds.filter("n > 1").select("core", "part", "n")
+        found.append(cut(_counted(parts.filter("single").select("core", "part", "rid", "at", "strings"), copied, ["core", "part"], "rid").select("rid", F.col("at").alias("lo"), (F.col("at") + F.col("strings") + (length - 1)).alias("hi"))))
+        mixed = cut(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        open_ = _counted(kinds.select("core", (F.col("n") == 1).alias("once"), "one.*"), mixed, ["core"], "rid")
+        open_ = cut(open_.withColumn("single", F.col("single") & F.col("once")).drop("once"))
+        found.append(_sorted_groups(open_.filter(F.col("n") <= most), length, width))
+        parts = open_.filter(F.col("n") > most).drop("n")
+        if finer is None or parts.isEmpty():
+            break
+        parts = _finer(parts, width, finer)
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    cuts = every.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
+    return cuts.join(ids, "rid").drop("rid").dropDuplicates(["did", "t1", "t2"])
+
+
+def dedup_substrings(docs: DataFrame, length: int = 400, most: int = 4096, digests: bool = False) -> DataFrame:
     """docs with kept_text in place of text (binary: what is left may break a character; with digests, kept_sha256),
-    n_bytes, n_removed, n_spans."""
+    n_bytes, n_removed, n_spans. Columns of these names, in any case, are replaced."""
     # the text crosses the shuffle once, beside the other columns
-    others = [c for c in docs.columns if c not in ("text", *(("kept_sha256",) if digests else ("kept_text",)), "n_bytes", "n_removed", "n_spans")]
-    packed = pack(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in others or c == "text"]))
-    keyed = packed.select(F.struct(*[F.col("row").getField(c).alias(c) for c in others]).alias("row") if others else F.struct(F.lit(0).alias("none")).alias("row"), doc_key(), F.hash(F.coalesce("row.text", F.lit(""))).alias("t"), F.encode(F.coalesce("row.text", F.lit("")), "UTF-8").alias("text"))
-    joined = keyed.join(repeated(keyed.select("did", "t", "text"), length, split), ["did", "t"], "left").select("row", F.col("text").alias("raw"), "cuts")
+    taken = {"text", "kept_sha256" if digests else "kept_text", "n_bytes", "n_removed", "n_spans"}
+    others = [c for c in docs.columns if c.lower() not in taken]
+    packed = pack(docs)
+    row = F.struct(F.lit(0).alias("none"), *[F.col("row").getField(c).alias(c) for c in others]).alias("row")
+    keyed = packed.select(row, doc_key(), *text_key(), F.encode(F.coalesce("row.text", F.lit("")), "UTF-8").alias("text"))
+    joined = keyed.join(repeated(keyed.select("did", "t1", "t2", "text"), length, most), ["did", "t1", "t2"], "left").select("row", F.col("text").alias("raw"), "cuts")
     new = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string") if digests else ("kept_text", "binary")]
     schema = T.StructType([joined.schema["row"], *[T.StructField(c, T._parse_datatype_string(t)) for c, t in new]])
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string() if digests else pa.binary()]

@@ -57,8 +57,8 @@ def test_suffix_array_brute_force():
             assert lcp[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-@pytest.mark.parametrize("split", [1024, 1])
-def test_suffix_dedup(docs, corpus, split):
+@pytest.mark.parametrize("most", [4096, 1])
+def test_suffix_dedup(docs, corpus, most):
     length = 100
     raw = [(t or "").encode() for _, t, _ in corpus]
     starts = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
@@ -70,7 +70,7 @@ def test_suffix_dedup(docs, corpus, split):
                 gone[i : i + length] = True
         runs = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
         want.append((d is None, d or 0, len(b), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
-    got = suffix_dedup.dedup_substrings(docs, length, split, digests=True).collect()
+    got = suffix_dedup.dedup_substrings(docs, length, most, digests=True).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
 
 
