@@ -136,6 +136,77 @@ def test_chaining_recall(spark, n, share):
     assert got == want
 
 
+@pytest.mark.parametrize("early", [17, 60])
+def test_chaining_pieces_shadow_nothing(spark, early):
+    """Early documents hold pieces of a passage that two late ones hold whole."""
+    rng = random.Random(23)
+    p = [rng.choice(WORDS) for _ in range(120)]
+    rows = [(i, f"{words(rng, 30)} {' '.join(p[x : x + 26])} {words(rng, 30)}") for i, x in enumerate(rng.randrange(95) for _ in range(early))]
+    rows += [(500, f"{words(rng, 40)} {' '.join(p)} {words(rng, 40)}"), (501, f"{words(rng, 20)} {' '.join(p)}")]
+    got = chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.other_id, r.n_equal) for r in got] == [(501, 500, 120)]
+
+
+def test_chaining_brute_force(spark):
+    """Every pair of texts that share min_words equal words is reported, and what is reported is as alike as it says."""
+    rng = random.Random(24)
+    shared = [[rng.choice(WORDS) for _ in range(rng.randrange(40, 75))] for _ in range(12)]
+    rows = []
+    for i in range(70):
+        parts = [words(rng, rng.randrange(5, 60))]
+        for x in rng.sample(shared, rng.randrange(3)):
+            rate = rng.choice([0, 0, 0.05, 0.15])
+            y = ["zz" if rng.random() < rate else w for w in x]
+            parts += [" ".join(y), words(rng, rng.randrange(5, 60))]
+        rows.append((None if i % 9 == 0 else i // 2, ("\n" if i % 2 else " ").join(parts)))
+    rows += [rows[4], (300, rows[5][1]), (None, rows[6][1]), (301, None), (302, ""), (303, "x" * 70000)]
+    ws = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) for _, t in rows]
+    want = set()
+    for i in range(len(rows)):
+        for j in range(i):
+            grams = {tuple(ws[j][k : k + 50]) for k in range(len(ws[j]) - 49)}
+            if rows[i] != rows[j] and any(tuple(ws[i][k : k + 50]) in grams for k in range(len(ws[i]) - 49)):
+                want.add(frozenset([rows[i], rows[j]]))
+    text = defaultdict(list)
+    for r in rows:
+        text[r[0]].append(r[1])
+    got = chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = set()
+    for r in got:
+        if r.first_byte is None:
+            pairs |= {frozenset([(r.doc_id, a), (r.other_id, b)]) for a in text[r.doc_id] for b in text[r.other_id] if a == b}
+            continue
+        sides = []
+        for d, lo, hi in ((r.doc_id, r.first_byte, r.last_byte), (r.other_id, r.other_first, r.other_last)):
+            sides.append([(t, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.encode()[lo:hi].decode(errors="replace").lower())) for t in text[d] if t])
+        best = None
+        for a, x in sides[0]:
+            for b, y in sides[1]:
+                row = [0] * (len(y) + 1)
+                for u in x:
+                    last = 0
+                    for k, v in enumerate(y, 1):
+                        last, row[k] = row[k], last + 1 if u == v else max(row[k], row[k - 1])
+                if row[-1] >= r.n_equal and max(len(x), len(y)) == r.n_words and a != b:
+                    best = frozenset([(r.doc_id, a), (r.other_id, b)])
+                    pairs.add(best)
+        assert best and r.n_words >= 50 and r.similarity == r.n_equal / r.n_words >= 0.8
+    by_class = defaultdict(set)  # copies are reported with their class, others between representatives
+    for d, t in rows:
+        by_class[t].add((d, t))
+    low = {t: min(ds, key=lambda r: (r[0] is not None, r[0] or 0)) for t, ds in by_class.items()}
+    assert {frozenset(low[t] for _, t in p) if len({t for _, t in p}) > 1 else p for p in want} <= pairs and len(want) > 20
+
+
+def test_chaining_goes_on(spark):
+    """A passage whose seeds stand first in other texts goes on beyond the bytes fetched at first."""
+    rng = random.Random(25)
+    p = [rng.choice(WORDS) for _ in range(900)]
+    rows = [(i, " ".join(p[450:]) + " " + words(rng, 30)) for i in range(3)] + [(10, " ".join(p)), (11, words(rng, 9) + " " + " ".join(p))]
+    got = {(r.doc_id, r.other_id): r.n_equal for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string"), few=1, margin=40).collect()}
+    assert got[11, 10] == 900
+
+
 def test_chain_fenwick_brute_force():
     rng = random.Random(9)
     for _ in range(200):
