@@ -133,22 +133,26 @@ class Automaton:
 
 
 class _Memory(dict):
-    """What of() gave for each key; emptied when it holds ``most`` keys."""
+    """What of() gave for each key; emptied when keys and values come to ``most`` bytes. Long keys are not kept."""
 
-    def __init__(self, of, most: int):
-        self.of, self.most = of, most
+    def __init__(self, of, most: int, longest: int = 1000):
+        self.of, self.most, self.longest, self.size = of, most, longest, 0
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.of(key)
+        value = self.of(key)
+        if len(key) <= self.longest:
+            if self.size > self.most:
+                self.clear()
+                self.size = 0
+            self.size += 4 * len(key) + len(value) + 200  # with what Python adds
+            self[key] = value
         return value
 
 
 class Tokenizer:
-    """A vocabulary file's normalizer, split and merges. Words met are remembered, up to ``memory`` of them."""
+    """A vocabulary file's normalizer, split and merges. Words met are remembered, up to ``memory`` bytes of them."""
 
-    def __init__(self, path: str, memory: int = 300_000):
+    def __init__(self, path: str, memory: int = 100_000_000):
         with open(path, encoding="utf-8") as f:
             j = json.load(f)
         model = j["model"]
@@ -209,7 +213,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
     new = [T.StructField("n_tokens", T.LongType())]
     new += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] if digests else [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
     names = [f.name for f in new]
-    kept = docs.drop(*names)
+    kept = docs.drop(*[c for c in docs.columns if c.lower() in names])
     schema = T.StructType([*kept.schema.fields, *new])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

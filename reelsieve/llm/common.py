@@ -59,6 +59,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    jvm = spark._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 #: With it Spark removes the shuffle files of an execution that has ended; a checkpoint needs them no more.
 _REMOVE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

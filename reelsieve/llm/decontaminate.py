@@ -5,9 +5,12 @@ k least shingle hashes, k being more than the shingles an item of its partition
 threshold's share of an item therefore holds a hash of its sketch, however long the document is. Sketch hashes fetch
 candidate documents; the exact containment of all of the item's shingles in the candidate decides.
 
-Texts are lower-cased and cut into runs of letters and digits. Null and empty texts, and items of fewer words than a
-shingle, have no shingles and match nothing. Equal documents and equal items each give their own rows. Other columns of
-either table are ignored by ``leaks`` and passed through by ``clean``.
+Documents are not sketched: all their shingles are looked up in the items' sketches, so, other than with a sketch on
+both sides, no item is missed. A document or item of fewer words than a shingle is one shingle, its whole sequence.
+
+Texts are lower-cased and cut into runs of letters and digits. Texts without a word, or null, have no shingles and match
+nothing. Equal documents and equal items each give their own rows; null ids are returned as null. Other columns of either
+table are ignored by ``leaks`` and passed through by ``clean``.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import cut, doc_key, let, pack, small, text_key
+from reelsieve.llm.common import NO_ID, cut, doc_key, let, pack, small, text_key
 
 
 def shingle_hashes(text: Column, width: int = 5) -> Column:
@@ -24,7 +27,7 @@ def shingle_hashes(text: Column, width: int = 5) -> Column:
     none = F.array().cast("array<bigint>")
 
     def of(w: Column) -> Column:
-        return F.when(F.size(w) < width, none).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - width), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)])))
+        return F.when(F.size(w) == 0, none).when(F.size(w) < width, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(F.transform(F.sequence(F.lit(0), F.size(w) - width), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)])))
 
     return F.array_distinct(let(ws, of))
 
@@ -64,10 +67,10 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return leaks(docs, items).select(F.col("did").alias("doc_id"), F.col("iid").alias("item_id"), "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
+    return leaks(docs, items).select(F.when(F.col("did") != NO_ID, F.col("did")).alias("doc_id"), F.col("iid").alias("item_id"), "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
 
 
-_SHINGLES = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))"
+_SHINGLES = "CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END"
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 ORACLE = f"""
 WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents), iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

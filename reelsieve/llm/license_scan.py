@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelsieve.llm.common import unpack
+
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 #: Notices in words as this scan sees them, with the label of each.
 NOTICES = (
@@ -29,6 +31,26 @@ NOTICES = (
     ("creative commons attribution sharealike", "cc-by-sa"),
     ("dedicated to the public domain", "public-domain"),
     ("copyright all rights reserved", "reserved"),
+    ("licensed under the mit license", "mit"),
+    ("distributed under the terms of the mit license", "mit"),
+    ("licensed under the bsd license", "bsd"),
+    ("neither the name of the copyright holder nor the names of its contributors", "bsd"),
+    ("this program is free software you can redistribute it and or modify", "gpl"),
+    ("gnu lesser general public license", "lgpl"),
+    ("gnu affero general public license", "agpl-3.0"),
+    ("eclipse public license version 2 0", "epl-2.0"),
+    ("boost software license version 1 0", "bsl-1.0"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("creative commons attribution noderivatives", "cc-by-nd"),
+    ("creative commons zero public domain dedication", "cc0"),
+    ("european union public licence version 1 2", "eupl-1.2"),
+    ("open database license", "odbl"),
+    ("may not be reproduced without written permission", "reserved"),
+    ("unauthorized copying of this file is strictly prohibited", "reserved"),
 )
 #: Word bytes stay, A-Z become a-z, every other ASCII byte a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -86,8 +108,16 @@ def find_notices(body: str, notices: tuple = NOTICES, rate: float = 0.1) -> list
     return sorted(out)
 
 
+def _word_counter(body: str):
+    """The spaces before a place."""
+    import numpy as np
+
+    spaces = np.flatnonzero(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), "<u4") == 32)
+    return lambda at: int(np.searchsorted(spaces, at))
+
+
 def scan(text: str, notices: tuple = NOTICES, rate: float = 0.1) -> tuple:
-    """n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label, first and last word)."""
+    """n_words, n_base, first_word, last_word, base_labels, labels, score, spans (label, first and last word, edits)."""
     body, n = normal(text)
     starts, base = [], set()
     for phrase, label in BASE:
@@ -97,33 +127,33 @@ def scan(text: str, notices: tuple = NOTICES, rate: float = 0.1) -> tuple:
             base.add(label)
             at = body.find(f" {phrase} ", at + 1)
     found = find_notices(body, notices, rate)
-    word = lambda at: body.count(" ", 0, at)
-    spans = [(notices[no][1], max(0, word(a + 1) - 1), max(0, word(b - 1) - 1)) for a, b, no, _ in found]
+    word = _word_counter(body) if starts or found else None
+    spans = [(notices[no][1], max(0, word(a + 1) - 1), max(0, word(b - 1) - 1), e) for a, b, no, e in found]
     score = max([1.0 if base else 0.0, *(1 - e / len(notices[no][0]) for _, _, no, e in found)])
     places = [word(a) for a in (min(starts), max(starts))] if starts else [None, None]
     return n, len(starts), *places, ",".join(sorted(base)), ",".join(sorted(base | {s[0] for s in spans})), score, spans
 
 
-_SPAN = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
-_NEW = [("n_words", "long", pa.int64()), ("n_base", "long", pa.int64()), ("first_word", "long", pa.int64()), ("last_word", "long", pa.int64()), ("base_labels", "string", pa.string()), ("labels", "string", pa.string()), ("score", "double", pa.float64()), ("spans", "array<struct<label:string,first_word:bigint,last_word:bigint>>", _SPAN)]
+_SPAN = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int64())]))
+_NEW = [("n_words", "long", pa.int64()), ("n_base", "long", pa.int64()), ("first_word", "long", pa.int64()), ("last_word", "long", pa.int64()), ("base_labels", "string", pa.string()), ("labels", "string", pa.string()), ("score", "double", pa.float64()), ("spans", "array<struct<label:string,first_word:bigint,last_word:bigint,edits:bigint>>", _SPAN)]
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", notices: tuple = NOTICES, rate: float = 0.1) -> DataFrame:
-    """docs with the columns of ``scan``; columns of those names are replaced."""
+    """docs with the columns of ``scan``; columns of those names, in any case, are replaced."""
     names = [c for c, _, _ in _NEW]
-    text = F.col(f"`{text_col}`")
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names or c == text_col], text.alias("_scanned"))
-    schema = T.StructType([f for f in kept.schema.fields if f.name != "_scanned"] + [T.StructField(c, T._parse_datatype_string(t)) for c, t, _ in _NEW])
+    kept = [c for c in docs.columns if c.lower() not in names]
+    rowed = docs.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    schema = T.StructType([rowed.schema["row"]] + [T.StructField(c, T._parse_datatype_string(t)) for c, t, _ in _NEW])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [scan(t or "", notices, rate) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            cols = [pa.array([g[i] if t is not _SPAN else [dict(zip(("label", "first_word", "last_word"), s)) for s in g[i]] for g in got], t) for i, (_, _, t) in enumerate(_NEW)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], schema.names)
+            got = [scan(t or "", notices, rate) for t in batch.column(1).to_pylist()]
+            cols = [pa.array([g[i] if t is not _SPAN else [dict(zip(("label", "first_word", "last_word", "edits"), s)) for s in g[i]] for g in got], t) for i, (_, _, t) in enumerate(_NEW)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], schema.names)
 
-    return kept.mapInArrow(rows, schema)
+    return unpack(rowed.mapInArrow(rows, schema), kept, **{c: F.col(c) for c in names})
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan_licenses(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return scan_licenses(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelsieve.llm.bpe import default_path, tokenizer
-from reelsieve.llm.common import cut, shared_dir
+from reelsieve.llm.common import cut, remove, shared_dir
 
 #: The public vocabulary's end-of-text identifier; its ids fit 16 bits.
 SEPARATOR, DTYPE = 49407, "<u2"
@@ -47,8 +47,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, dty
         with files.open_output_stream(f"{base}/{name}") as out:
             for batch in batches:
                 for text in batch.column(1).to_pylist():
-                    ids = np.frombuffer(tok.encode(text or "", special=False), "<u4").astype(dtype)
-                    out.write(ids.tobytes())
+                    ids = np.frombuffer(tok.encode(text or "", special=False), "<u4")
+                    if (ids > np.iinfo(dtype).max).any() or (ids == separator).any():
+                        raise ValueError(f"a token's identifier is the separator or doesn't fit {dtype}")
+                    out.write(ids.astype(dtype).tobytes())
                     out.write(np.array([separator], dtype).tobytes())
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(nth, nth + n), pa.int64()), batch.column(0)], ["file", "nth", "doc_id"])
@@ -94,4 +96,6 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     manifest = write_token_files(docs, folder)
-    return manifest.join(token_counts(spark, folder), ["file", "nth"]).select("doc_id", "n_tokens")
+    counts = token_counts(spark, folder)  # read once and cut; the files are needed no more
+    remove(spark, folder)
+    return manifest.join(counts, ["file", "nth"]).select("doc_id", "n_tokens")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import ascii_lower
+from reelsieve.llm.common import ascii_lower, cut, unpack
 
 
 @dataclass(frozen=True)
@@ -45,15 +45,17 @@ HOST_RULES = (
 PATTERN_RULES = (
     PatternRule("spam-farm", r"://([^/?#]*[.])?spam-farm[.:/?#]", ("spam", "farm")),
     PatternRule("casino", r"(^|[^A-Za-z0-9])[Cc]asino([^A-Za-z0-9]|$)", ("casino",)),
-    PatternRule("session-id", r"[?&](sessionid|jsessionid)=", ()),
+    PatternRule("session-id", r"[?&]sessionid=", ("sessionid",)),
+    PatternRule("java-session-id", r"[?&]jsessionid=", ("jsessionid",)),
     PatternRule("wp-login", r"/wp-login[.]php", ("wp", "login", "php")),
-    PatternRule("login-page", r"/(login|signin)([/?#]|$)", ()),
+    PatternRule("login-page", r"/login([/?#]|$)", ("login",)),
+    PatternRule("signin-page", r"/signin([/?#]|$)", ("signin",)),
     PatternRule("calendar-trap", r"/calendar/[0-9]{4}/[0-9]{2}(/|$)", ("calendar",)),
     PatternRule("printer-view", r"[?&]print=1(&|#|$)", ("print", "1")),
     PatternRule("feed-tracking", r"[?&]utm_source=feed&utm_medium=(ads|popup)(&|#|$)", ("utm", "source", "feed", "medium")),
 )
-#: Rules an index may hold as a literal in the plan; a longer list is refused rather than shipped with each task.
-MAX_RULES = 20_000
+#: Rules an index may hold as a literal in the plan; a longer list is joined as a table.
+MAX_RULES = 1000
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -84,37 +86,74 @@ def _struct(no: int, token: str, r: PatternRule) -> Column:
 _TYPE = "array<struct<no:int,token:string,pattern:string,verdict:string>>"
 
 
-def filter_urls(pages: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RULES, default: str = "allow", url_col: str = "url") -> DataFrame:
-    """pages with host, path, rule (the longest fitting host rule, else null) and verdict. A host rule decides;
-    without one, the first fitting pattern rule; without that, ``default``. Rules without literals run always."""
-    if len(host_rules) + len(pattern_rules) > MAX_RULES:
-        raise ValueError(f"over {MAX_RULES} rules")
-    url = F.coalesce(F.col(url_col), F.lit(""))
-    host, path = url_parts(F.col(url_col))
-    df = pages.withColumns({"_host": host, "_path": path})
-    fits = F.coalesce(*[
-        F.when(((F.col("_host") == r.host) | F.col("_host").endswith("." + r.host)) & F.col("_path").startswith(r.path), F.struct(F.lit(r.name).alias("name"), F.lit(r.verdict).alias("verdict")))
+def _clean_names(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+
+
+def filter_urls(pages: DataFrame, host_rules=HOST_RULES, pattern_rules=PATTERN_RULES, default: str = "allow", url_col: str = "url", max_rules: int = MAX_RULES) -> DataFrame:
+    """pages with host, path, rule (the longest fitting host rule, else null) and verdict; columns of these names, in any
+    case, are replaced. A host rule decides; without one, the first fitting pattern rule; without that, ``default``. Rules
+    without literals run always. Over ``max_rules`` rules are joined as tables, with the same result."""
+    kept = _clean_names(pages)
+    packed = pages.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{url_col}`").alias("url"))
+    host, path = url_parts(F.col("url"))
+    df = packed.withColumns({"host": host, "path": path, "tokens": url_tokens(F.col("url"))})
+    if len(host_rules) + len(pattern_rules) > max_rules:
+        out = _by_tables(df, host_rules, pattern_rules)
+    else:
+        out = df.withColumns({"fit": _host_fit(host_rules), "found": _first_pattern(df, pattern_rules)})
+    # a pattern runs only where no host rule decides
+    verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("fit").isNull(), F.col("found")), F.lit(default))
+    return unpack(out, kept, host=F.col("host"), path=F.col("path"), rule=F.col("fit.name"), verdict=verdict)
+
+
+def _host_fit(host_rules) -> Column:
+    """The longest fitting host rule of host and path."""
+    if not host_rules:
+        return F.lit(None).cast("struct<name:string,verdict:string>")
+    return F.coalesce(*[
+        F.when(((F.col("host") == r.host) | F.col("host").endswith("." + r.host)) & F.col("path").startswith(r.path), F.struct(F.lit(r.name).alias("name"), F.lit(r.verdict).alias("verdict")))
         for r in sorted(host_rules, key=lambda r: (-len(r.name), r.name))
-    ]) if host_rules else F.lit(None).cast("struct<name:string,verdict:string>")
-    pick = rarest_literals(pages.select(url_col), pattern_rules, url_col)
+    ])
+
+
+def _first_pattern(df: DataFrame, pattern_rules) -> Column:
+    """The verdict of the first fitting pattern rule of url, fetched through its tokens."""
+    pick = rarest_literals(df.select("url"), pattern_rules)
     size = max(1, 2 * len(pick))
-    order = {r.name: i for i, r in enumerate(pattern_rules)}
-    indexed = [_struct(order[r.name], pick[r.name], r) for r in pattern_rules if r.name in pick]
-    always = [_struct(order[r.name], "", r) for r in pattern_rules if r.name not in pick]
+    numbered = list(enumerate(pattern_rules))
+    indexed = [(i, r) for i, r in numbered if r.name in pick]
+    always = [_struct(i, "", r) for i, r in numbered if r.name not in pick]
     # token hash -> rules: an array of buckets, looked up by position
-    slots = pages.sparkSession.range(1).select(*[F.pmod(F.xxhash64(F.lit(pick[r.name])), F.lit(size)).alias(f"c{i}") for i, r in enumerate(r for r in pattern_rules if r.name in pick)]).first() if indexed else ()
-    buckets = [F.array(*[s for s, at in zip(indexed, slots) if at == b]).cast(_TYPE) for b in range(size)]
-    fetched = F.flatten(F.transform(F.col("_tokens"), lambda t: F.filter(F.element_at(F.array(*buckets), (F.pmod(F.xxhash64(t), F.lit(size)) + 1).cast("int")), lambda r: r["token"] == t)))
-    candidates = F.concat(F.array(*always).cast(_TYPE), fetched)
-    hits = F.filter(candidates, lambda r: F.rlike(url, r["pattern"]))
-    df = df.withColumn("_tokens", url_tokens(F.col(url_col))).withColumn("_fit", fits)
-    first = F.array_min(hits)  # the lowest rule number
-    out = df.withColumn("_method", F.when(F.col("_fit").isNull(), F.coalesce(first["verdict"], F.lit(default))))
-    drop = [c for c in ("host", "path", "rule", "verdict") if c in pages.columns]
-    return out.drop(*drop).select(
-        *[c for c in pages.columns if c not in drop], F.col("_host").alias("host"), F.col("_path").alias("path"),
-        F.col("_fit.name").alias("rule"), F.coalesce(F.col("_fit.verdict"), F.col("_method")).alias("verdict"),
-    )
+    slots = df.sparkSession.range(1).select(*[F.pmod(F.xxhash64(F.lit(pick[r.name])), F.lit(size)).alias(f"c{i}") for i, r in indexed]).first() if indexed else ()
+    buckets = [F.array(*[_struct(i, pick[r.name], r) for (i, r), at in zip(indexed, slots) if at == b]).cast(_TYPE) for b in range(size)]
+    fetched = F.flatten(F.transform(F.col("tokens"), lambda t: F.filter(F.element_at(F.array(*buckets), (F.pmod(F.xxhash64(t), F.lit(size)) + 1).cast("int")), lambda r: r["token"] == t)))
+    hits = F.filter(F.concat(F.array(*always).cast(_TYPE), fetched), lambda r: F.rlike(F.coalesce("url", F.lit("")), r["pattern"]))
+    return F.array_min(hits)["verdict"]  # the lowest rule number
+
+
+def _by_tables(df: DataFrame, host_rules, pattern_rules) -> DataFrame:
+    """df with fit and found, through joins: the hosts' suffixes with the host rules, the tokens with the pattern rules, each
+    rule under its rarest literal."""
+    spark = df.sparkSession
+    rows = cut(df.withColumn("rid", F.monotonically_increasing_id()))
+    labels = F.split("host", "[.]")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    rules = spark.createDataFrame([(r.host, r.path, r.name, r.verdict) for r in {r.name: r for r in reversed(host_rules)}.values()], "host string, prefix string, name string, verdict string")
+    fits = rows.select("rid", "path", F.explode(suffixes).alias("host")).join(rules, "host").filter(F.col("path").startswith(F.col("prefix")))
+    best = F.struct((-F.length("name")).alias("size"), "name", "verdict")
+    fits = fits.groupBy("rid").agg(F.min(best).alias("b")).select("rid", F.struct("b.name", "b.verdict").alias("fit"))
+    patterns = spark.createDataFrame([(i, list(r.literals), r.pattern, r.verdict) for i, r in enumerate(pattern_rules)], "no int, literals array<string>, pattern string, verdict string")
+    lits = patterns.select("no", F.explode("literals").alias("token"))
+    counts = rows.select(F.explode("tokens").alias("token")).join(lits.select("token").distinct(), "token").groupBy("token").count()
+    rare = lits.join(counts, "token", "left").groupBy("no").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("m")).select("no", "m.token")
+    hit = F.rlike(F.coalesce("url", F.lit("")), F.col("pattern"))
+    got = rows.select("rid", "url", F.explode("tokens").alias("token")).join(rare, "token").join(patterns.drop("literals"), "no").filter(hit)
+    bare = [F.when(F.rlike(F.coalesce("url", F.lit("")), F.lit(r.pattern)), F.struct(F.lit(i).alias("no"), F.lit(r.verdict).alias("verdict"))) for i, r in enumerate(pattern_rules) if not r.literals]
+    always = rows.select("rid", F.explode(F.array_compact(F.array(*bare))).alias("f")).select("rid", "f.*") if bare else None
+    got = got.select("rid", "no", "verdict")
+    first = (got.unionByName(always) if bare else got).groupBy("rid").agg(F.min(F.struct("no", "verdict")).alias("f")).select("rid", F.col("f.verdict").alias("found"))
+    return rows.join(fits, "rid", "left").join(first, "rid", "left")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -74,6 +74,30 @@ def test_suffix_dedup(docs, corpus, most):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
 
 
+def test_suffix_dedup_many_contexts(spark):
+    """A line that stands in very many texts, between words of their own and in near copies, and null ids."""
+    rng = random.Random(17)
+    line = words(rng, 12)
+    body = words(rng, 120).split(" ")
+    texts = [f"{words(rng, 30)} {line} {words(rng, 30)}" for _ in range(120)] + [" ".join(body[:k] + ["edit" + str(k)] + body[k:]) for k in range(0, 120, 2)]
+    rows = [(None if i % 3 == 0 else i, t) for i, t in enumerate(texts)]
+    length = 150
+    raw = [t.encode() for _, t in rows]
+    starts = Counter(b[i : i + length] for b in raw for i in range(len(b) - length + 1))
+    want = []
+    for (d, _), b in zip(rows, raw):
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if starts[b[i : i + length]] > 1:
+                gone[i : i + length] = True
+        want.append((repr(d), len(b), int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~gone])).hexdigest()))
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, N_BYTES string")
+    for most in (4096, 2):
+        got = suffix_dedup.dedup_substrings(df, length, most, digests=True)
+        assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        assert sorted((repr(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in got.collect()) == sorted(want)
+
+
 def test_suffix_dedup_long_pieces(spark, monkeypatch):
     rng = random.Random(4)
     body = words(rng, 3000)
@@ -96,6 +120,20 @@ def test_url_filter(spark):
         assert got[i] == (host, path, best and best.name, best.verdict if best else method)
 
 
+def test_url_rules_by_tables(spark):
+    """Very many rules are joined as tables and give the same; columns of any name and case stay or are replaced."""
+    rng = random.Random(14)
+    hosts = [f"{a}.{b}" for a in "abcdef" for b in ("com", "net", "x.org")]
+    rules = tuple(url_filter.HostRule(rng.choice([h, h.split(".", 1)[1]]), rng.choice(["/", "/a", "/a/b/"]), rng.choice(["allow", "block"])) for h in hosts * 2)
+    patterns = (*url_filter.PATTERN_RULES, url_filter.PatternRule("digits", "/[0-9]{5}", ()), url_filter.PatternRule("ab", "a/b/c", ("a", "b", "c"), "allow"))
+    urls = [f"http://{rng.choice(['', 'w.'])}{rng.choice(hosts)}{rng.choice(['', '/', '/a', '/a/b/c', '/login', '/q?jsessionid=1', '/12345'])}" for _ in range(150)] + [None, "", "nothing"]
+    df = spark.createDataFrame([(i, u, 7, 8, 9) for i, u in enumerate(urls)] * 2, "page_id int, url string, _host int, Tokens int, RULE int")
+    got = [sorted(map(repr, url_filter.filter_urls(df, rules, patterns, max_rules=n).collect())) for n in (1000, 0)]
+    assert got[0] == got[1] and "_host=7, Tokens=8, host=" in got[0][0] and len(got[0]) == 2 * len(urls)
+    none = url_filter.filter_urls(df, (), (), max_rules=-1).collect()
+    assert {r.verdict for r in none} == {"allow"} and {r.rule for r in none} == {None}
+
+
 def test_chaining_finds_passages(docs, corpus):
     rows = chaining.shared_passages(docs).collect()
     linked = {r.doc_id for r in rows} | {r.other_id for r in rows}
@@ -287,6 +325,15 @@ def test_license_scan(spark):
         assert r.base_labels == ",".join(sorted({label for p, label in license_scan.BASE if at[p]}))
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
     assert got[2].labels == "mit" and got[6].labels == "mit" and got[3].labels == ""
+    assert [tuple(s) for s in got[2].spans] == [("mit", 0, 4, 2)] and [s.label for s in got[6].spans] == ["mit"] and 1 <= got[6].spans[0].edits <= 5
+
+
+def test_license_scan_long_text(spark):
+    """Many notices in one long text, each with its place."""
+    text = " ".join(f"{' '.join(['word'] * 30)} All rights reserved, released under the MIT license" for _ in range(2000))
+    (r,) = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert (r.n_base, r.first_word, r.last_word, r.n_words) == (2000, 30, 1999 * 38 + 30, 2000 * 38)
+    assert [s.first_word for s in r.spans if s.label == "mit" and not s.edits] == [38 * i + 33 for i in range(2000)]
 
 
 def test_bpe_is_the_library(docs, corpus):
@@ -432,11 +479,11 @@ def test_line_dedup(docs, corpus):
 
 
 def test_decontaminate(spark, docs, corpus):
-    items = [(1, corpus[0][1][-300:].upper()), (2, "too short"), (3, None), (4, " ".join(WORDS[:30])), (5, corpus[12][1]), (1, corpus[0][1][-300:])]
+    items = [(1, corpus[0][1][-300:].upper()), (2, "too short"), (6, "A!"), (7, " ,"), (3, None), (4, " ".join(WORDS[:30])), (5, corpus[12][1]), (1, corpus[0][1][-300:])]
 
     def shingles(t):
         ws = re.findall(r"[^\W_]+", (t or "").lower())
-        return {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
 
     want = set()
     for d, t, _ in corpus:
@@ -466,6 +513,19 @@ def test_empty_tables_and_clashing_names(spark):
         assert decontaminate.clean(df, spark.createDataFrame([], "item_id long, text string")).count() == n
         assert chaining.shared_passages(df).count() == 0
     assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string, path int")).count() == 0
+    assert quality.clean(empty).count() == 0
+
+
+def test_token_files_of_nothing_and_clashing_names(spark, tmp_path):
+    odd = "doc_id long, text string, file int, nth string, start int, block int"
+    for i, (rows, want) in enumerate((([], []), ([(1, "a b", 1, "x", 2, 3), (1, None, *[None] * 4), (None, "", 1, "x", 2, 3)], [(1, 2), (1, 0), (None, 0)]))):
+        folder = f"file://{tmp_path}/{i}"
+        (tmp_path / str(i)).mkdir()
+        manifest = token_counts.write_token_files(spark.createDataFrame(rows, odd), folder)
+        got = manifest.join(token_counts.token_counts(spark, folder), ["file", "nth"]).collect()
+        assert sorted((repr(r.doc_id), r.n_tokens) for r in got) == sorted((repr(d), n) for d, n in want)
+    with pytest.raises(Exception, match="separator"):
+        token_counts.write_token_files(spark.createDataFrame([(1, "a b", 1, "x", 2, 3)], odd), folder, dtype="u1", separator=7)
 
 
 def test_names_without_case(spark):
@@ -473,6 +533,9 @@ def test_names_without_case(spark):
     df = spark.createDataFrame([(1, "a b c", 1, 2, 3, 4, 5), (2, "a b c", 1, 2, 3, 4, 5)], "doc_id long, text string, _hot int, FP int, Component_ID int, _text int, t1 int")
     got = simhash.near_duplicates(df).collect()
     assert [(r.doc_id, r._hot, r._text, r.t1, r.component_id) for r in sorted(got)] == [(1, 1, 4, 5, 1), (2, 1, 4, 5, 1)]
+    odd = spark.createDataFrame([(1, "cc by", 4, 5, 6)], "doc_id long, text string, _scanned int, row int, N_Words int")
+    assert [(r._scanned, r.row, r.n_words, r.base_labels) for r in license_scan.scan_licenses(odd).collect()] == [(4, 5, 2, "cc-by")]
+    assert [(r._scanned, r.n_tokens) for r in bpe.encode(odd.withColumn("N_Tokens", F.lit("x"))).collect()] == [(4, 2)]
     host = spark.createDataFrame([(1, "a b c", "h", 7, 8, 9)], "doc_id long, text string, source string, HOST int, f_n_words int, Gone int")
     assert [(r.HOST, r.f_n_words, r.Gone, r.n_words) for r in quality.judge(host).collect()] == [(7, 8, 9, 3)]
 
