@@ -14,12 +14,19 @@ def netloc(url: Column) -> Column:
     return F.split_part(F.element_at(F.split(raw, "@"), -1), F.lit(":"), F.lit(1))
 
 
-# SQL text: thousands of expression nodes are parsed at once. transform(array(x), v -> ...) names a value that is used
-# many times, so that filters pushed through these columns stay as small as they are.
-_PLATFORM = "CASE " + " ".join(f"WHEN h = '{h}' OR endswith(h, '.{h}') THEN '{p}'" for p, hs in HOSTS.items() for h in hs) + " END"
-_OF_HOST = f"element_at(transform(array(_host), h -> {_PLATFORM}), 1)"
-_RULE = "CASE " + " ".join(f"WHEN p = '{p}' AND _u RLIKE r'{r}' THEN {i}" for i, (p, r, _, _) in enumerate(URL_RULES)) + " END"
-_ID = "CASE n " + " ".join(f"WHEN {i} THEN regexp_extract(_u, r'{r}', 1)" for i, (_, r, _, _) in enumerate(URL_RULES)) + " END"
+_PLATFORM_OF = {h: p for p, hs in HOSTS.items() for h in hs}
+_LONGEST = max(h.count(".") for h in _PLATFORM_OF) + 1
+# SQL text: hundreds of expression nodes are parsed at once. transform(array(x), v -> ...) names a value that is used many times,
+# so that filters pushed through these columns stay as small as they are. Only the rules of a url's platform run.
+_RULE = "element_at(transform(array(_platform), p -> CASE p " + " ".join(
+    f"WHEN '{p}' THEN CASE " + " ".join(f"WHEN _u RLIKE r'{r}' THEN {i}" for i, (q, r, _, _) in enumerate(URL_RULES) if q == p) + " END" for p in dict.fromkeys(r[0] for r in URL_RULES)) + " END), 1)"
+_ID = "regexp_extract(_u, get(array(" + ", ".join(f"r'{r}'" for _, r, _, _ in URL_RULES) + "), _rule), 1)"
+
+
+def _platform(host: Column) -> Column:
+    """Looked up by the host's last labels, most first."""
+    names = F.create_map(*[F.lit(x) for hp in _PLATFORM_OF.items() for x in hp])
+    return F.coalesce(*[F.try_element_at(names, F.substring_index(host, ".", -n)) for n in range(_LONGEST, 1, -1)])
 
 
 def _by_rule(values: list) -> Column:
@@ -28,19 +35,19 @@ def _by_rule(values: list) -> Column:
 
 def with_platform(df: DataFrame, url: str, out: str = "platform") -> DataFrame:
     """df with the platform of the url's host, or of a host that it is a subdomain of; never by a substring of the url."""
-    return df.withColumn("_host", netloc(F.col(url))).withColumn(out, F.expr(_OF_HOST)).drop("_host")
+    return df.withColumn("_host", netloc(F.col(url))).withColumn(out, _platform(F.col("_host"))).drop("_host")
 
 
 def with_identity(df: DataFrame, url: str) -> DataFrame:
     """df with platform, object_type, object_id and is_short by the first rule of the platform that fits; without one
     null, null, null and false."""
     parts = df.withColumns({"_host": netloc(F.col(url)), "_u": F.coalesce(F.col(url), F.lit(""))})
-    ruled = parts.withColumn("_rule", F.expr(f"element_at(transform(array({_OF_HOST}), p -> {_RULE}), 1)"))
+    ruled = parts.withColumn("_platform", _platform(F.col("_host"))).withColumn("_rule", F.expr(_RULE))
     return ruled.withColumns({
         "platform": _by_rule([r[0] for r in URL_RULES]), "object_type": _by_rule([r[2] for r in URL_RULES]),
-        "object_id": F.expr(f"element_at(transform(array(_rule), n -> {_ID}), 1)"),
+        "object_id": F.expr(_ID),
         "is_short": F.coalesce(_by_rule([r[3] for r in URL_RULES]), F.lit(False)),
-    }).drop("_host", "_u", "_rule")
+    }).drop("_host", "_u", "_rule", "_platform")
 
 
 def is_absolute(url: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.functions.hashing import hamming
+from reelsieve.functions.hashing import hamming, mean_distance
 
 
 def first_match(new: DataFrame, store: DataFrame, keys: list[str], id_col: str = "id", value: str = "url", out: str = "match") -> DataFrame:
@@ -31,19 +31,59 @@ def share_join(a: DataFrame, b: DataFrame, x: str, y: str, share: float, both: b
     return joined.filter((F.col(y) >= low) & (F.col(y) <= F.col(x) * (1 + share)))
 
 
-def bands(packed: Column, n: int) -> Column:
-    """Array of structs (no, bits): the 64 bits in n parts. Values within n - 1 differing bits share a part."""
-    cuts = [64 * i // n for i in range(n + 1)]
-    part = lambda i: F.shiftrightunsigned(packed, cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1))
-    return F.array(*[F.struct(F.lit(i).alias("no"), part(i).alias("bits")) for i in range(n)])
+def share_buckets(c: Column, share: float, reach: int = 0) -> Column:
+    """Array of the numbers of the logarithmic buckets up to ``reach`` from a value's own. Values whose ratio is between 1 - share
+    and 1 + share are at most two buckets apart."""
+    return F.array(*[_bucket(c, share) + F.lit(d) for d in range(-reach, reach + 1)])
 
 
-def hamming_join(a: DataFrame, b: DataFrame, x: str, y: str, radius: int, keys: list[str]) -> DataFrame:
-    """All pairs with at most radius differing bits: rows meet by equal parts of their hashes. keys: columns of both
-    sides that tell rows apart; a pair that meets in several parts is kept for the first of them, with no distinct."""
-    n = radius + 1
-    left = a.filter(F.col(x).isNotNull()).select("*", F.explode(bands(F.col(x), n)).alias("_p")).select("*", "_p.no", "_p.bits").drop("_p")
-    right = b.filter(F.col(y).isNotNull()).select("*", F.explode(bands(F.col(y), n)).alias("_p")).select("*", "_p.no", "_p.bits").drop("_p")
-    met = left.join(right, ["no", "bits"]).withColumn("_d", hamming(F.col(x), F.col(y))).filter(F.col("_d") <= radius)
-    equal = F.filter(F.zip_with(bands(F.col(x), n), bands(F.col(y), n), lambda p, q: F.when(p["bits"] == q["bits"], p["no"])), lambda v: v.isNotNull())
-    return met.filter(F.col("no") == F.array_min(equal)).drop("no", "bits").withColumnRenamed("_d", "distance")
+def _cuts(radius: int) -> tuple[list[int], int]:
+    """Where the parts of 64 bits begin and end, and how many bits may differ in a part that two values within the radius
+    are sure to have: none in one of four parts, or one where there are half as many parts as bits may differ."""
+    n, slack = (radius + 1 if radius < 4 else radius // 2 + 1), int(radius >= 4)
+    n = max(n, 4)
+    return [64 * i // n for i in range(n + 1)], slack
+
+
+def _part(packed: Column, lo: int, hi: int) -> Column:
+    return F.shiftrightunsigned(packed, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
+
+
+def bands(packed: Column, radius: int, probe: bool = False) -> Column:
+    """Array of structs (no, bits): the parts of 64 bits; with probe also what a part is with one bit changed, if one may differ."""
+    cuts, slack = _cuts(radius)
+    out = []
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        part = _part(packed, lo, hi)
+        flips = [0, *(1 << k for k in range(hi - lo))] if probe and slack else [0]
+        out += [F.struct(F.lit(i).alias("no"), part.bitwiseXOR(F.lit(f).cast("long")).alias("bits")) for f in flips]
+    return F.array(*out)
+
+
+def hamming_join(a: DataFrame, b: DataFrame, x: str, y: str, radius: int, also: list[str] | None = None) -> DataFrame:
+    """All pairs with at most radius differing bits, and their distance. Rows meet by parts of their hashes of 12 bits or
+    more, of which one may differ (of radius 7: four parts of 16 bits, so a pair of random hashes meets once in 960). A pair
+    that meets in several parts is kept for the first of them, with no distinct. also: columns of both sides that are to
+    be equal, such as a bucket."""
+    also = also or []
+    cuts, slack = _cuts(radius)
+    left = a.filter(F.col(x).isNotNull()).select("*", F.inline(bands(F.col(x), radius, probe=True)))
+    right = b.filter(F.col(y).isNotNull()).select("*", F.inline(bands(F.col(y), radius)))
+    met = left.join(right, ["no", "bits", *also]).withColumn("distance", hamming(F.col(x), F.col(y))).filter(F.col("distance") <= radius)
+    differ = F.col(x).bitwiseXOR(F.col(y))
+    first = F.coalesce(*[F.when(F.bit_count(_part(differ, lo, hi)) <= slack, i) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
+    return met.filter(F.col("no") == first).drop("no", "bits")
+
+
+def fingerprint_join(a: DataFrame, b: DataFrame, below: int, share: float) -> DataFrame:
+    """new_id, old_id, mean: pairs of a and b (id, dur, fp: an array of hashes by place) with durations in the share and a mean
+    distance of the frames that both have of less than ``below``. Then a frame is within below - 1 of the other's at its
+    place, so candidates come from the frames' hashes; the whole fingerprints decide."""
+    frame = lambda df, n, h: df.select(F.col("id").alias(f"{n}_id"), F.col("dur").alias(f"{n}_dur"), F.posexplode("fp").alias("pos", h))
+    new = frame(a, "new", "x").withColumn("bucket", F.explode(share_buckets(F.col("new_dur"), share)))
+    old = frame(b, "old", "y").withColumn("bucket", F.explode(share_buckets(F.col("old_dur"), share, 2)))
+    met = hamming_join(new, old, "x", "y", below - 1, ["pos", "bucket"])
+    met = met.filter(F.col("old_dur").between(F.col("new_dur") * (1 - share), F.col("new_dur") * (1 + share))).select("new_id", "old_id").distinct()
+    one, two = (df.select(F.col("id").alias(f"{n}_id"), F.col("fp").alias(f"{n}_fp")) for df, n in ((a, "new"), (b, "old")))
+    both = met.join(one, "new_id").join(two, "old_id")
+    return both.select("new_id", "old_id", mean_distance(F.col("new_fp"), F.col("old_fp")).alias("mean")).filter(F.col("mean") < below)

@@ -64,11 +64,13 @@ def l0_anti(spark, sf: str) -> DataFrame:
     return derive(spark, sf, URLS).join(done, "u", "left_anti").select("page_id", "u")
 
 
-@query("l1_first_match", f"WITH {_CANON}, s AS (SELECT platform, object_type, object_id, min_by(u, page_id) AS match FROM c WHERE rule IS NOT NULL AND page_id % 2 = 0 GROUP BY ALL) SELECT c.page_id, s.match FROM c LEFT JOIN s USING (platform, object_type, object_id) WHERE c.page_id % 2 = 1")
+@query("l1_first_match", f"WITH {_CANON}, s AS (SELECT platform, object_type, object_id, min(page_id) AS first, min_by(u, page_id) AS match FROM c WHERE rule IS NOT NULL GROUP BY ALL) SELECT c.page_id, CASE WHEN s.first < c.page_id THEN s.match END AS match FROM c LEFT JOIN s ON c.rule IS NOT NULL AND c.platform = s.platform AND c.object_type = s.object_type AND c.object_id = s.object_id")
 def l1_first_match(spark, sf: str) -> DataFrame:
+    """Each page's first earlier one of equal identity."""
     ids = I.with_identity(derive(spark, sf, URLS), "u").select("page_id", "u", "platform", "object_type", "object_id")
-    store = ids.filter("page_id % 2 = 0").withColumnsRenamed({"page_id": "id", "u": "url"})
-    return joins.first_match(ids.filter("page_id % 2 = 1"), store, ["platform", "object_type", "object_id"]).select("page_id", "match")
+    store = ids.select(F.col("page_id").alias("id"), F.struct(F.col("page_id").alias("first"), "u").alias("url"), "platform", "object_type", "object_id")
+    met = joins.first_match(ids, store, ["platform", "object_type", "object_id"])
+    return met.select("page_id", F.when(F.col("match.first") < F.col("page_id"), F.col("match.u")).alias("match"))
 
 
 @query("l2_first_match", "WITH d AS (SELECT doc_id, sha256(text) AS fh FROM documents), s AS (SELECT fh, min(doc_id) AS match FROM d GROUP BY fh) SELECT doc_id, CASE WHEN match < doc_id THEN match END AS first_copy FROM d JOIN s USING (fh)")
@@ -86,25 +88,28 @@ _DIST = f"bit_count(xor({_BITS.format('a')}, {_BITS.format('b')}))"
 def l3_range_hamming(spark, sf: str) -> DataFrame:
     v = derive(spark, sf, VIDEOS).withColumn("x", H.pack_hex(F.col("h")))
     new, old = v.select(F.col("id").alias("new_id"), F.col("dur").alias("dx"), "x"), v.select(F.col("id").alias("old_id"), F.col("dur").alias("dy"), F.col("x").alias("y"))
-    near = joins.hamming_join(new, old, "x", "y", C.L3_BELOW - 1, ["new_id", "old_id"])
+    # the bucket of the duration is a part of the key
+    new = new.withColumn("bucket", F.explode(joins.share_buckets(F.col("dx"), C.DURATION_SHARE)))
+    old = old.withColumn("bucket", F.explode(joins.share_buckets(F.col("dy"), C.DURATION_SHARE, 2)))
+    near = joins.hamming_join(new, old, "x", "y", C.L3_BELOW - 1, ["bucket"])
     return near.filter("old_id < new_id AND dy BETWEEN dx * 0.8 AND dx * 1.2").select("new_id", "old_id", "distance")
 
 
-def _fingerprints(spark, sf: str) -> DataFrame:
-    f = derive(spark, sf, FRAMES)
-    return f.groupBy("id", "dur").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "h"))), lambda s: s["h"]).alias("hs")).select("id", "dur", F.array_join("hs", ":").alias("fp"))
-
-
+# five frames for each video, alike at the same place in a group of four; every other video has one of its own
+_ALIGNED = """SELECT vec_id AS id, CAST(40 + (vec_id - vec_id % 4) % 60 + (vec_id % 4) * 6 AS DOUBLE) AS dur, k AS pos,
+ CASE WHEN k = vec_id % 5 AND vec_id % 2 = 0 THEN substr(sha2('own' || CAST(vec_id AS STRING), 256), 1, 16)
+ ELSE substr(sha2(CAST(vec_id - vec_id % 4 AS STRING) || '-' || CAST(k AS STRING), 256), 1, 15) || substr('0123456789abcdef', CAST(vec_id * 7 % 16 AS INT) + 1, 1) END AS h
+ FROM {embeddings} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) ks"""
 _FRAME_DIST = "bit_count(xor(('0x' || x.h)::UBIGINT, ('0x' || y.h)::UBIGINT))"
 
 
-@query("l4_mean_hamming", f"WITH f AS ({duck(FRAMES)}) SELECT x.id AS new_id, y.id AS old_id, CAST(sum({_FRAME_DIST}) AS BIGINT) AS bits FROM f x JOIN f y ON y.id < x.id AND x.pos = y.pos AND y.dur BETWEEN x.dur * 0.8 AND x.dur * 1.2 GROUP BY 1, 2 HAVING sum({_FRAME_DIST}) < 140")
+@query("l4_mean_hamming", f"WITH f AS ({duck(_ALIGNED)}) SELECT x.id AS new_id, y.id AS old_id, CAST(sum({_FRAME_DIST}) AS BIGINT) AS bits FROM f x JOIN f y ON y.id < x.id AND x.pos = y.pos AND y.dur BETWEEN x.dur * 0.8 AND x.dur * 1.2 GROUP BY 1, 2 HAVING sum({_FRAME_DIST}) < {5 * C.L4_MEAN_BELOW}")
 def l4_mean_hamming(spark, sf: str) -> DataFrame:
-    """A looser threshold than production's (28 bits in the mean), for these tables to have pairs."""
-    fp = _fingerprints(spark, sf).withColumn("fp", H.parse_fingerprint(F.col("fp")))
-    new, old = fp.select(F.col("id").alias("new_id"), F.col("dur").alias("dx"), F.col("fp").alias("fx")), fp.select(F.col("id").alias("old_id"), F.col("dur").alias("dy"), F.col("fp").alias("fy"))
-    mean = H.mean_distance(F.col("fx"), F.col("fy"))
-    return joins.share_join(new, old, "dx", "dy", C.DURATION_SHARE).filter("old_id < new_id").withColumn("m", mean).filter("m < 28").select("new_id", "old_id", F.bround(F.col("m") * 5).cast("long").alias("bits"))
+    f = derive(spark, sf, _ALIGNED)
+    fp = f.groupBy("id", "dur").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "h"))), lambda s: s["h"]).alias("hs"))
+    parsed = fp.select("id", "dur", H.parse_fingerprint(F.array_join("hs", ":")).alias("fp"))
+    near = joins.fingerprint_join(parsed, parsed, C.L4_MEAN_BELOW, C.DURATION_SHARE)
+    return near.filter("old_id < new_id").select("new_id", "old_id", F.bround(F.col("mean") * 5).cast("long").alias("bits"))
 
 
 @query("l4x_cross_hamming", f"WITH f AS ({duck(FRAMES)}), m AS (SELECT x.id AS new_id, y.id AS old_id, x.pos AS px, y.pos AS py FROM f x JOIN f y ON y.id < x.id WHERE (x.id + x.pos) % 7 > 0 AND {_FRAME_DIST} <= 6) SELECT new_id, old_id, least(count(DISTINCT px), count(DISTINCT py)) AS matches FROM m GROUP BY 1, 2 HAVING least(count(DISTINCT px), count(DISTINCT py)) >= 2")
@@ -114,7 +119,7 @@ def l4x_cross_hamming(spark, sf: str) -> DataFrame:
     f = derive(spark, sf, FRAMES).withColumn("x", H.pack_hex(F.col("h")))
     new = f.filter("(id + pos) % 7 > 0").select(F.col("id").alias("new_id"), F.col("pos").alias("px"), "x")
     old = f.select(F.col("id").alias("old_id"), F.col("pos").alias("py"), F.col("x").alias("y"))
-    met = joins.hamming_join(new, old, "x", "y", C.CROSS_DISTANCE, ["new_id", "px", "old_id", "py"]).filter("old_id < new_id")
+    met = joins.hamming_join(new, old, "x", "y", C.CROSS_DISTANCE).filter("old_id < new_id")
     return met.groupBy("new_id", "old_id").agg(F.least(F.countDistinct("px"), F.countDistinct("py")).alias("matches")).filter(F.col("matches") >= C.CROSS_FRAMES)
 
 
@@ -124,7 +129,9 @@ _PAIRS = f"WITH RECURSIVE v AS ({duck(VIDEOS)}), e AS (SELECT a.id AS x, b.id AS
 def _offline(spark, sf: str) -> DataFrame:
     v = derive(spark, sf, VIDEOS).withColumn("x", H.pack_hex(F.col("h")))
     a, b = v.select(F.col("id").alias("a"), F.col("dur").alias("da"), "x"), v.select(F.col("id").alias("b"), F.col("dur").alias("db"), F.col("x").alias("y"))
-    met = joins.hamming_join(a, b, "x", "y", C.L3_BELOW - 1, ["a", "b"]).filter("a < b")
+    a = a.withColumn("bucket", F.explode(joins.share_buckets(F.col("da"), C.DURATION_SHARE)))
+    b = b.withColumn("bucket", F.explode(joins.share_buckets(F.col("db"), C.DURATION_SHARE, 2)))
+    met = joins.hamming_join(a, b, "x", "y", C.L3_BELOW - 1, ["bucket"]).filter("a < b")
     return met.filter("greatest(da, db) <= 1.2 * least(da, db)").select("a", "b")
 
 

@@ -58,14 +58,15 @@ def test_cross_matches(spark):
     assert df.select(H.cross_matches(F.col("a"), F.col("ok"), F.col("b"), 2)).first()[0] == 2
 
 
-def test_hamming_join_is_exact(spark):
+@pytest.mark.parametrize("radius", [0, 3, 6, 7, 9, 12])
+def test_hamming_join_is_exact(spark, radius):
     rng = random.Random(3)
     base = [rng.getrandbits(64) for _ in range(30)]
-    values = [b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(8))) & (2**64 - 1) for b in base for _ in range(6)]
+    values = [b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(radius + 3))) & (2**64 - 1) for b in base for _ in range(6)]
     signed = [v - 2**64 if v >= 2**63 else v for v in values]
     df = spark.createDataFrame(list(enumerate(signed)), "i int, v long")
-    got = joins.hamming_join(df.select(F.col("i").alias("a"), F.col("v").alias("x")), df.select(F.col("i").alias("b"), F.col("v").alias("y")), "x", "y", 6, ["a", "b"]).filter("a < b")
-    want = {(i, j) for i in range(len(values)) for j in range(i + 1, len(values)) if bin(values[i] ^ values[j]).count("1") <= 6}
+    got = joins.hamming_join(df.select(F.col("i").alias("a"), F.col("v").alias("x")), df.select(F.col("i").alias("b"), F.col("v").alias("y")), "x", "y", radius).filter("a < b")
+    want = {(i, j) for i in range(len(values)) for j in range(i + 1, len(values)) if bin(values[i] ^ values[j]).count("1") <= radius}
     rows = [(r.a, r.b) for r in got.collect()]
     assert len(rows) == len(set(rows)) and set(rows) == want
 
@@ -97,6 +98,17 @@ def test_graph(spark):
     assert all(r.blocked_by == min((a for a, b in edges if b == r.seq and a in accepted), default=None) for r in rows if not r.accepted)
 
 
+def test_long_chains(spark):
+    """A chain takes no round for each link; larger components than one task takes go on in rounds."""
+    nodes = spark.range(3000).select(F.col("id").alias("seq"), F.lit(True).alias("eligible"))
+    chain = spark.range(2999).select(F.col("id").alias("earlier"), (F.col("id") + 1).alias("later"))
+    assert [r.seq for r in graph.first_accepted(nodes, chain).filter("accepted").orderBy("seq").collect()] == list(range(0, 3000, 2))
+    few = chain.filter("earlier < 25")
+    rows = graph.first_accepted(nodes.filter("seq < 26"), few, rounds=3, most_edges=6).filter("accepted").orderBy("seq").collect()
+    assert [r.seq for r in rows] == list(range(0, 26, 2))
+    assert graph.components(few).agg(F.max("root")).first()[0] == 0
+
+
 def test_empty_graph(spark):
     none = spark.createDataFrame([], "a long, b long")
     assert graph.components(none).count() == 0
