@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from reelsieve.llm import shingles
 from reelsieve.llm.common import HOT_PARTS, cut, join_spread, text_key, unpack
-from reelsieve.llm.components import components
+from reelsieve.operators.graph import components
 
 _LOW = shingles.LOW
 
@@ -140,13 +140,14 @@ def links(fps: DataFrame, radius: int = 3, tile: int = 1024) -> DataFrame:
     return pairs.mapInArrow(rows, "u long, v long")
 
 
-def _joined_by_similarity(texts: DataFrame, roots: DataFrame, width: int, similarity: float) -> DataFrame:
-    """fp, root: as roots (a row for each fp), with groups joined where texts (t1, fp, text) of two of them reach the similarity."""
-    placed = cut(texts.join(roots, "fp").select("t1", "root"))
-    pairs = shingles.similar_pairs(texts.select(F.col("t1").alias("node"), "text"), width, similarity, placed)
-    ends = pairs.join(placed.select(F.col("t1").alias("u"), F.col("root").alias("a")), "u").join(placed.select(F.col("t1").alias("v"), F.col("root").alias("b")), "v")
-    far = components(ends.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return roots.join(far.select(F.col("node").alias("root"), F.col("root").alias("far")), "root", "left").select("fp", F.coalesce("far", "root").alias("root"))
+def _similar(texts: DataFrame, edges: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges (u, v) between fingerprints of texts (t1, fp, text) that reach the similarity. Pairs whose fingerprints have
+    the same least neighbour in edges are linked already and not compared."""
+    ends = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = ends.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("fp"), F.least("u", "m").alias("least"))
+    placed = cut(texts.select("t1", "fp").join(least, "fp", "left").select("t1", "fp", F.coalesce("least", "fp").alias("root")))
+    pairs = shingles.similar_pairs(texts.select(F.col("t1").alias("node"), "text"), width, similarity, placed.select("t1", "root"))
+    return pairs.join(placed.select(F.col("t1").alias("u"), F.col("fp").alias("a")), "u").join(placed.select(F.col("t1").alias("v"), F.col("fp").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", radius: int = 3, width: int = 3, similarity: float | None = None) -> DataFrame:
@@ -158,12 +159,14 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     packed = docs.select(F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in out]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text_key(f"`{text_col}`")[0], F.col(f"`{text_col}`").alias("text"))
     prints = cut(fingerprints(packed, width))
     nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("low"), F.count("fp").alias("rows")))
-    roots = components(links(nodes.select("fp"), radius))
-    roots = nodes.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    edges = links(nodes.select("fp"), radius)
     if similarity is not None:
+        edges = cut(edges)
         of = prints.groupBy("t1").agg(F.first("fp").alias("fp"))
         texts = packed.groupBy("t1").agg(F.first("text").alias("text")).join(of, "t1")
-        roots = _joined_by_similarity(texts, cut(roots), width, similarity)
+        edges = edges.unionByName(_similar(texts, edges, width, similarity))
+    roots = components(edges)
+    roots = nodes.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
     placed = cut(nodes.join(roots, "fp"))
     groups = cut(placed.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("rows").alias("component_rows"), F.count("fp").alias("prints")))
     total, distinct = groups.agg(F.sum("component_rows"), F.sum("prints")).first()
