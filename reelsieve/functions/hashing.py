@@ -69,15 +69,14 @@ def dct_hash(pixels: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Perceptual hash of 32x32 gray values (flat array): signs of the 8x8 low DCT terms about their median."""
     import numpy as np
 
-    k, n = np.arange(32)[:, None], np.arange(32)[None]
+    k, n = np.arange(8)[:, None], np.arange(32)[None]
     basis = np.cos(np.pi * (2 * n + 1) * k / 64)
     for part in pixels:
-        out = []
-        for p in part:
-            if p is None or len(p) != 1024:
-                out.append(None)
-                continue
-            low = (basis @ np.asarray(p, float).reshape(32, 32) @ basis.T)[:8, :8].ravel()
-            bits = "".join("1" if x else "0" for x in low > np.median(low))
-            out.append(f"{int(bits, 2):016x}")
+        good = np.flatnonzero([p is not None and len(p) == 1024 for p in part])
+        out = np.full(len(part), None, object)
+        if len(good):
+            tiles = np.stack([np.asarray(part.iloc[i], float) for i in good]).reshape(-1, 32, 32)
+            low = (basis @ tiles @ basis.T).reshape(-1, 64)
+            bits = np.packbits(low > np.median(low, axis=1, keepdims=True), axis=1)
+            out[good] = [b.tobytes().hex() for b in bits]
         yield pd.Series(out, dtype=object)

@@ -90,3 +90,27 @@ def class_condition(present: Column, condition) -> Column:
 
 def enough(classes: Column, class_id: int, least: int) -> Column:
     return F.coalesce(F.size(F.filter(classes, lambda c: c == class_id)) >= least, F.lit(False))
+
+
+def confident(conf: Column, cls: Column, threshold: float, own: dict[int, float] | None = None) -> Column:
+    """Confidence over the class's own threshold, or the general one."""
+    limits = F.create_map(*[F.lit(x) for kv in (own or {}).items() for x in kv]) if own else None
+    least = F.coalesce(F.try_element_at(limits, cls), F.lit(threshold)) if own else F.lit(threshold)
+    return F.coalesce(conf > least, F.lit(False))
+
+
+def crop_boxes(detections: DataFrame, sizes: DataFrame, image: str, classes: list[int], threshold: float | None = 0.7, least: tuple[int, int] = (0, 0), more: tuple[int, int, int, int] = (0, 0, 0, 0)) -> DataFrame:
+    """image, no, x1, y1, x2, y2: what to cut out of each image (width, height in sizes). detections (image, no, cls, and as
+    shares of the image x, y of the centre, w, h): those of the classes, without overlaps over the threshold, widened by
+    pixels (top, bottom, left, right), kept inside the image, and of a least width and height."""
+    d = detections.filter(F.col("cls").isin(*classes)).join(sizes, image)
+    side = lambda c, size, half, total: ((F.col(c) + half * F.col(size)) * F.col(total)).cast("long")
+    boxes = d.select(image, "no", side("x", "w", -0.5, "width").alias("x1"), side("y", "h", -0.5, "height").alias("y1"), side("x", "w", 0.5, "width").alias("x2"), side("y", "h", 0.5, "height").alias("y2"))
+    kept = boxes if threshold is None else nms(boxes, image, "no", threshold)
+    top, bottom, left, right = more
+    zero = F.lit(0).cast("long")
+    inside = kept.join(sizes, image).select(
+        image, "no", F.greatest(zero, F.col("x1") - left).alias("x1"), F.greatest(zero, F.col("y1") - top).alias("y1"),
+        F.least(F.col("width").cast("long"), F.col("x2") + right).alias("x2"), F.least(F.col("height").cast("long"), F.col("y2") + bottom).alias("y2"))
+    w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    return inside.filter((w > 0) & (h > 0) & (w >= least[0]) & (h >= least[1]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelsieve.functions import media as M
 from reelsieve.plans.catalog import CUT_LEVEL, HI, LO, MERGE_GAP_S, MIN_SECONDS
 
 
@@ -94,3 +95,55 @@ def centroids(vectors: DataFrame, label: str, vec: str) -> DataFrame:
     mean = flat.groupBy(label, "pos").agg(F.avg("x").alias("m"))
     size = F.sqrt(F.sum(F.col("m") * F.col("m")).over(Window.partitionBy(label)))
     return mean.select(label, "pos", (F.col("m") / size).alias("value"))
+
+
+def segment_means(frames: DataFrame, keys: list[str], gray_below: float = 12.0) -> DataFrame:
+    """keys, p_visual, gray_ratio: the mean of the frames' p_visual, and the share of them with less saturation."""
+    return frames.groupBy(*keys).agg(F.avg("p_visual").alias("p_visual"), F.avg((F.col("saturation") < gray_below).cast("double")).alias("gray_ratio"))
+
+
+def needs_reading(p_visual: Column, eff_fps: Column, gray_ratio: Column, least: float = 0.3) -> Column:
+    """Whether a segment's frames are worth reading for a clock."""
+    return F.coalesce(p_visual >= least, F.lit(False)) | F.coalesce(eff_fps <= 16, F.lit(False)) | F.coalesce(gray_ratio >= 0.5, F.lit(False))
+
+
+def timestamp_scores(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, ts_score of sampled frames (i from 0, at in seconds, text read from it): 1 where a clock in the picture goes with
+    the video (up to four times as fast), 0.75 for time and date, 0.4 for one of them, 0 for none or where the middle
+    frame shows neither. A segment's samples are a handful."""
+    one = F.struct("i", "at", M.clock_seconds(F.col("text")).alias("times"), M.has_date(F.col("text")).alias("dated"))
+    groups = samples.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("xs"))
+    xs = F.col("xs")
+    middle = F.get(xs, F.floor(F.size(xs) / 2).cast("int"))
+    blank = (F.size(middle["times"]) == 0) & ~middle["dated"]
+    goes = lambda x, y: F.exists(x["times"], lambda a: F.exists(y["times"], lambda b: (b > a) & (b - a <= 4 * (y["at"] - x["at"]) + 2)))
+    runs = F.exists(xs, lambda x: F.exists(xs, lambda y: (y["i"] > x["i"]) & (y["at"] - x["at"] >= 1.0) & goes(x, y)))
+    time, date = F.exists(xs, lambda x: F.size(x["times"]) > 0), F.exists(xs, lambda x: x["dated"])
+    score = F.when(blank, 0.0).when(runs, 1.0).when(time & date, 0.75).when(time | date, 0.4).otherwise(0.0)
+    return groups.select(*keys, score.alias("ts_score"))
+
+
+def score_segments(segments: DataFrame, probe: bool = False) -> DataFrame:
+    """segments (p_visual, ts_score, eff_fps, fps, gray_ratio) with prob, label and reasons: what speaks for a surveillance
+    camera, each with its weight."""
+    p, ts, eff, fps, gray = (F.col(c) for c in ("p_visual", "ts_score", "eff_fps", "fps", "gray_ratio"))
+    said = lambda text, v: F.concat(text, F.format_string(" (%+.1f)", v))
+    clock = F.when(ts >= 1, "clock goes with the video (+4.0)").when(ts >= 0.75, "date and time (+3.0)").when(ts >= 0.4, "date or time (+1.5)")
+    slow = F.when((fps >= 23) & (eff <= 16), F.format_string("true rate about %.0f (+1.5)", eff))
+    reasons = F.array(said(F.format_string("looks like a camera %.2f", p), F.lit(8.0 if probe else 5.0) * (p - 0.5)), clock, slow, F.when(gray >= 0.5, "no colour (+0.5)"))
+    prob = M.segment_prob(M.segment_evidence(p, ts, eff, fps, gray, probe))
+    return segments.withColumns({"prob": prob, "label": M.segment_label(prob), "reasons": F.array_join(F.array_compact(reasons), "; ")})
+
+
+def middle_first(place: Column, size: Column) -> Column:
+    """Sort key: the middle one, then the others in order."""
+    return F.struct((place != F.floor(size / 2)).cast("int").alias("other"), place.alias("place"))
+
+
+def empty_streak_stop(rows: DataFrame, key: str, order: str, new: str, limit: int) -> DataFrame:
+    """rows up to the ``limit``-th fruitless one in a row (``new`` = 0), which ends a scan."""
+    w = Window.partitionBy(key).orderBy(order)
+    hits = rows.withColumn("_h", F.sum((F.col(new) > 0).cast("int")).over(w))
+    streak = hits.withColumn("_s", F.sum((F.col(new) <= 0).cast("int")).over(Window.partitionBy(key, "_h").orderBy(order)))
+    ended = F.coalesce(F.max((F.col("_s") >= limit).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return streak.withColumn("_e", ended).filter("_e = 0").drop("_h", "_s", "_e")

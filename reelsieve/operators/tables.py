@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,7 +41,29 @@ def unique_names(rows: DataFrame, base: str, order: str, out: str = "name") -> D
     return rows.withColumn(out, F.when(n == 0, F.col(base)).otherwise(F.concat_ws("_", base, n.cast("string"))))
 
 
+def _moved(path: Column, old: str, new: str) -> Column:
+    return F.replace(path, F.lit(f"/{old}/"), F.lit(f"/{new}/"))
+
+
 def same_label_relabel(rows: DataFrame, label: str, path: str, old: str, new: str) -> DataFrame:
     """rows with a label and its folder in the path renamed."""
-    moved = F.regexp_replace(F.col(path), f"/{old}/", f"/{new}/")
-    return rows.withColumns({path: F.when(F.col(label) == old, moved).otherwise(F.col(path)), label: F.when(F.col(label) == old, F.lit(new)).otherwise(F.col(label))})
+    hit = F.col(label) == old
+    return rows.withColumns({path: F.when(hit, _moved(F.col(path), old, new)).otherwise(F.col(path)), label: F.when(hit, F.lit(new)).otherwise(F.col(label))})
+
+
+def merge_plan(rows: DataFrame, files: DataFrame, path: str, label: str, old: str, new: str) -> DataFrame:
+    """action, source, target: what merging a label into another does, before anything is done. rows: the table (path,
+    label); files (path): what lies in the old label's folder. 'move' for rows with a file, 'relabel' for rows without
+    one, 'unknown' for files that no row names; a target that another row has already is 'taken'."""
+    mine = rows.filter(F.col(label) == old).select(F.col(path).alias("source")).distinct()
+    there = files.select(F.col(path).alias("source"), F.lit(True).alias("found")).distinct()
+    both = mine.withColumn("named", F.lit(True)).join(there, "source", "full")
+    plan = both.withColumn("target", _moved(F.col("source"), old, new))
+    taken = rows.filter(F.col(label) == new).select(F.col(path).alias("target"), F.lit(True).alias("taken")).distinct()
+    action = F.when(F.col("named").isNull(), "unknown").when(F.col("taken"), "taken").when(F.col("found"), "move").otherwise("relabel")
+    return plan.join(taken, "target", "left").select(action.alias("action"), "source", "target")
+
+
+def append_unseen(store: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of new whose key an earlier output doesn't hold, to be appended to it."""
+    return new.join(store.select(key).distinct(), key, "left_anti")

@@ -281,7 +281,7 @@ def insert_absent(spark, sf: str) -> DataFrame:
     return tables.insert_absent(b.filter("page_id % 2 = 0"), b, "u", "page_id")
 
 
-@query("hashtag")
+@query("hashtag", "SELECT p_partkey, CASE WHEN length(t) BETWEEN 5 AND 40 AND t NOT IN (" + ", ".join(f"'{t}'" for t in C.GENERIC_TAGS) + ") THEN t END AS tag FROM (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS t FROM part)")
 def hashtag(spark, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", X.to_hashtag(F.col("p_name")).alias("tag"))
 

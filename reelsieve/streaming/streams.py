@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from reelsieve.functions.text import broadcast_key
 from reelsieve.plans.catalog import BACKOFF_HOURS, BACKOFF_MAX_HOURS, STREAK_LIMIT
 
 
@@ -64,3 +65,52 @@ def visit_states(visits: DataFrame) -> DataFrame:
         yield pd.DataFrame([[*key, n, streak, float(until), last, video]], columns=["platform", "label", "visits", "empty_streak", "backoff_until", "last_visit", "last_video_at"])
 
     return visits.groupBy("platform", "label").applyInPandasWithState(update, f"platform string, label string, {VISIT_STATE}", VISIT_STATE, "update", GroupStateTimeout.NoTimeout)
+
+
+def cooled_down(events: DataFrame, key: str, at: str, seconds: float) -> DataFrame:
+    """Events of a key, as (key, at), that are let through: the first one, and each that comes ``seconds`` or more after the
+    last one let through. For a stream the time is kept by key, for a table it is folded in order; rows come in order of
+    time. A throttle of messages and the pause of a camera after a hit are this."""
+
+    def step(rows: pd.DataFrame, last: float | None) -> tuple[list[float], float | None]:
+        passed = []
+        for t in sorted(rows[at].tolist()):
+            if last is None or t >= last + seconds:
+                passed.append(t)
+                last = t
+        return passed, last
+
+    schema = f"{key} {events.schema[key].dataType.simpleString()}, {at} double"
+    rows = events.select(key, F.col(at).cast("double").alias(at))
+
+    def update(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed, last = step(pd.concat(list(parts)), state.get[0] if state.exists else None)
+        if last is not None:
+            state.update((last,))
+        yield pd.DataFrame({key: [k[0]] * len(passed), at: passed})
+
+    if rows.isStreaming:
+        return rows.groupBy(key).applyInPandasWithState(update, schema, "last double", "append", GroupStateTimeout.NoTimeout)
+    # after a pause of that length the next event is let through whatever came before: a key's runs between such pauses are
+    # folded on their own
+    w = Window.partitionBy(key).orderBy(at)
+    fresh = F.coalesce(F.col(at) - F.lag(at).over(w) >= seconds, F.lit(True)).cast("long")
+    runs = rows.withColumn("run", F.sum(fresh).over(w))
+
+    def fold(k: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        passed, _ = step(part, None)
+        return pd.DataFrame({key: [k[0]] * len(passed), at: passed})
+
+    return runs.groupBy(key, "run").applyInPandas(fold, schema)
+
+
+def new_broadcasts(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """batch (url, channel, title) with status: 'known' for a url that was checked before, 'duplicate_broadcast' for a
+    channel that showed this title before, else 'new'. Within the batch the first url of a broadcast is new."""
+    mine = batch.dropDuplicates(["url"]).withColumn("key", broadcast_key(F.col("channel"), F.col("title")))
+    urls = known.select("url", F.lit(True).alias("seen")).distinct()
+    shown = known.select(broadcast_key(F.col("channel"), F.col("title")).alias("key")).filter("key IS NOT NULL").distinct().withColumn("shown", F.lit(True))
+    first = mine.join(urls, "url", "left_anti").filter("key IS NOT NULL").groupBy("key").agg(F.min("url").alias("first"))
+    joined = mine.join(urls, "url", "left").join(shown, "key", "left").join(first, "key", "left")
+    again = F.col("shown") | (F.col("key").isNotNull() & (F.col("url") != F.col("first")))
+    return joined.select("url", "channel", "title", F.when(F.col("seen"), "known").when(again, "duplicate_broadcast").otherwise("new").alias("status"))

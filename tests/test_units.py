@@ -193,3 +193,51 @@ def test_shot_ends_by_chunks(spark, chunk, min_len):
         want.add((k, len(cuts), cuts[-1]))
     df = spark.createDataFrame([(k, i, v) for k, vs in series.items() for i, v in enumerate(vs)], "k long, i int, v double")
     assert {tuple(r) for r in segments.shot_ends(df, "k", "i", "v", min_len, 60.0, chunk).collect()} == want
+
+
+def test_state_round_trip(spark, tmp_path):
+    """A broken or missing file is empty state, a string is the older form, a save takes the file's place whole."""
+    from reelsieve.sources import state
+
+    assert state.read_state(spark, f"{tmp_path}/none.json").count() == 0
+    path = tmp_path / "s.json"
+    path.write_text("{broken")
+    assert state.read_state(spark, str(path)).count() == 0
+    path.write_text('{"x": {"current": "Riot", "labels": {"Riot": {"empty_streak": 4, "backoff_until": 9000.0}, "Smoke": {}}}, "reddit": "Abuse"}')
+    for _ in range(2):
+        got = state.read_state(spark, str(path))
+        assert sorted((r.platform, r.current, len(r.labels)) for r in got.collect()) == [("reddit", "Abuse", 0), ("x", "Riot", 2)]
+        assert [(r.label, r.empty_streak) for r in state.labels_of(got).filter("empty_streak > 0").collect()] == [("Riot", 4)]
+        assert [tuple(r) for r in state.hours_left(got, 1800.0).collect()] == [("x", "Riot", 2.0)]
+        state.save_state(got, str(path))
+    assert path.is_file() and not (tmp_path / "s.json.tmp").exists()
+
+
+def test_cooled_down_stream_equals_batch(spark, tmp_path):
+    rng = random.Random(12)
+    rows = sorted(((k, float(rng.randrange(400))) for k in "abc" for _ in range(40)), key=lambda r: r[1])
+    want = set()
+    for k in "abc":
+        last = None
+        for t in sorted(t for q, t in rows if q == k):
+            if last is None or t >= last + 60:
+                want.add((k, t))
+                last = t
+    df = spark.createDataFrame(rows, "cam string, at double")
+    assert {tuple(r) for r in streams.cooled_down(df, "cam", "at", 60).collect()} == want
+    for i in range(3):
+        spark.createDataFrame(rows[40 * i : 40 * i + 40], "cam string, at double").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+    out = set()
+    source = spark.readStream.schema("cam string, at double").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    q = streams.by_batch(streams.cooled_down(source, "cam", "at", 60), lambda b, _: out.update(tuple(r) for r in b.collect()), f"{tmp_path}/ck")
+    q.awaitTermination()
+    assert out == want
+
+
+def test_middle_first_and_crops(spark):
+    rows = spark.range(5).select(F.col("id").alias("i")).orderBy(segments.middle_first(F.col("i"), F.lit(5)))
+    assert [r.i for r in rows.collect()] == [2, 0, 1, 3, 4]
+    d = spark.createDataFrame([("a", 0, 1, 0.5, 0.5, 0.2, 0.2), ("a", 1, 1, 0.51, 0.5, 0.2, 0.2), ("a", 2, 2, 0.1, 0.1, 0.1, 0.1), ("a", 3, 1, 0.99, 0.99, 0.3, 0.3)], "image string, no int, cls int, x double, y double, w double, h double")
+    sizes = spark.createDataFrame([("a", 100, 200)], "image string, width int, height int")
+    got = detection.crop_boxes(d, sizes, "image", [1], 0.7, (10, 10), (1, 2, 3, 4)).orderBy("no").collect()
+    assert [tuple(r) for r in got] == [("a", 0, 37, 79, 64, 122), ("a", 3, 81, 167, 100, 200)]
