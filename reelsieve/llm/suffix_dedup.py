@@ -36,7 +36,7 @@ GRAM = 32
 #: Strings of a part, at first and when dealt out further.
 WIDTHS = (32, 4, 1)
 #: Bytes scanned at once; memory is about 100 times this.
-PIECE = 1 << 18
+PIECE = 1 << 17
 _POS = (1 << 31) - 1
 
 
@@ -250,7 +250,7 @@ def matches(members: list[tuple], width: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _sorted_groups(kinds: DataFrame, length: int, width: int, batch_rows: int = 4096) -> DataFrame:
+def _sorted_groups(kinds: DataFrame, length: int, width: int, batch_rows: int = 2048) -> DataFrame:
     """rid, lo, hi: repeated stretches of parts that stand once, by suffix arrays over whole cores."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def _counted(rows: DataFrame, counts: DataFrame, keys: list[str], salt: str) ->
     return join_spread(rows, counts, keys, counts.filter(F.col("n") > total / HOT_PARTS), [F.col(salt)]).filter("n IS NOT NULL")
 
 
-def repeated(keyed: DataFrame, length: int = 400, most: int = 4096) -> DataFrame:
+def repeated(keyed: DataFrame, length: int = 400, most: int = 2048) -> DataFrame:
     """keyed: did, t1, t2, text (binary). did, t1, t2, cuts (array of lo, hi): bytes covered by repeated strings. most:
     kinds of parts in a suffix array; cores with more are dealt out by longer cores."""
     scanned = cut(_scan(keyed, length))
@@ -322,7 +322,7 @@ def repeated(keyed: DataFrame, length: int = 400, most: int = 4096) -> DataFrame
     return cuts.join(ids, "rid").drop("rid").dropDuplicates(["did", "t1", "t2"])
 
 
-def dedup_substrings(docs: DataFrame, length: int = 400, most: int = 4096, digests: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = 400, most: int = 2048, digests: bool = False) -> DataFrame:
     """docs with kept_text in place of text (binary: what is left may break a character; with digests, kept_sha256),
     n_bytes, n_removed, n_spans. Columns of these names, in any case, are replaced."""
     # the text crosses the shuffle once, beside the other columns
