@@ -147,3 +147,10 @@ def empty_streak_stop(rows: DataFrame, key: str, order: str, new: str, limit: in
     streak = hits.withColumn("_s", F.sum((F.col(new) <= 0).cast("int")).over(Window.partitionBy(key, "_h").orderBy(order)))
     ended = F.coalesce(F.max((F.col("_s") >= limit).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return streak.withColumn("_e", ended).filter("_e = 0").drop("_h", "_s", "_e")
+
+
+def even_subsample(rows: DataFrame, key: str, place: str, k: int) -> DataFrame:
+    """Of each key's rows, numbered by place from 0, k evenly spread ones with the first and the last; all where there are fewer."""
+    counted = rows.withColumn("_c", F.count(place).over(Window.partitionBy(key)))
+    steps = [F.bround(F.lit(j) * (F.col("_c") - 1) / F.lit(max(1, k - 1)), 0) for j in range(k)]
+    return counted.filter((F.col("_c") <= k) | F.array_contains(F.array(*steps), F.col(place).cast("double"))).drop("_c")

@@ -122,18 +122,13 @@ def class_count(spark, sf: str) -> DataFrame:
     return derive(spark, sf, BOXES).groupBy("image").agg(detection.enough(F.collect_list("cls"), 2, 2).alias("enough"))
 
 
-@query("box_convert", f"SELECT image, no, greatest(0, least(CAST(trunc(x1 - 0.125 * (x2 - x1)) AS INT), 100)) AS l, greatest(0, least(CAST(trunc(y1) AS INT), 80)) AS t, greatest(0, least(CAST(trunc(x2 + 0.25 * (x2 - x1)) AS INT), 100)) AS r, greatest(0, least(CAST(trunc(y2) AS INT), 80)) AS b FROM ({duck(BOXES)})")
+@query("box_convert", f"SELECT image, no, greatest(0, least(CAST(trunc(x1 - 0.125 * (x2 - x1)) AS INT), 128)) AS l, greatest(0, least(CAST(trunc(y1) AS INT), 64)) AS t, greatest(0, least(CAST(trunc(x2 + 0.25 * (x2 - x1)) AS INT), 128)) AS r, greatest(0, least(CAST(trunc(y2) AS INT), 64)) AS b FROM ({duck(BOXES)})")
 def box_convert(spark, sf: str) -> DataFrame:
-    """Through shares of a 128 x 64 image, whose factors are exact, and back, held inside 100 x 80."""
+    """Through shares of a 128 x 64 image, whose factors are exact, and back, widened and held inside the image."""
     w, h = F.lit(128.0), F.lit(64.0)
     cx, cy, bw, bh = M.centre_box(*[F.col(c) for c in ("x1", "y1", "x2", "y2")], w, h)
-    x1, y1, x2, y2 = M.crop_corners(cx, cy, bw, bh, w, h, (0.0, 0.0, 0.125, 0.25))
-    whole = derive(spark, sf, BOXES)
-    grown = [F.col("x1") - 0.125 * (F.col("x2") - F.col("x1")), F.col("y1"), F.col("x2") + 0.25 * (F.col("x2") - F.col("x1")), F.col("y2")]
-    held = [F.greatest(F.lit(0), F.least(c.cast("int"), F.lit(m))) for c, m in zip(grown, (100, 80, 100, 80))]
-    inside = [F.least(c, F.lit(m)) for c, m in zip((x1, y1, x2, y2), (100, 80, 100, 80))]
-    same = [F.when((F.col("x2") <= 100) & (F.col("y2") <= 64), i).otherwise(g) for i, g in zip(inside, held)]
-    return whole.select("image", "no", *[c.alias(n) for c, n in zip(same, "ltrb")])
+    corners = M.crop_corners(cx, cy, bw, bh, w, h, (0.0, 0.0, 0.125, 0.25))
+    return derive(spark, sf, BOXES).select("image", "no", *[c.cast("int").alias(n) for c, n in zip(corners, "ltrb")])
 
 
 _PLATES = "SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN '30A' || (c_custkey % 900 + 12345) WHEN 1 THEN '29AB' || (c_custkey % 900 + 100) WHEN 2 THEN '51NG' || (10000 + c_custkey % 80000) WHEN 3 THEN 'AB1234' WHEN 4 THEN 'AB123CD' ELSE '09A123' END AS t FROM {customer}"
@@ -179,7 +174,6 @@ def streak_stop(spark, sf: str) -> DataFrame:
     return segments.streak_cut(s, "user_id", "event_id", "known", 5).groupBy("user_id").agg(F.count("event_id").alias("n"))
 
 
-@query("even_subsample", f"WITH s AS ({duck(_SERIES)}), n AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS c FROM s) SELECT user_id, event_id FROM n WHERE i IN (0, (c - 1) // 2, c - 1)")
+@query("even_subsample", f"WITH s AS ({duck(_SERIES)}), n AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS c FROM s) SELECT user_id, event_id FROM n WHERE list_contains([round_even(j * (c - 1) / 6.0, 0) FOR j IN range(7)], i)")
 def even_subsample(spark, sf: str) -> DataFrame:
-    n = derive(spark, sf, _SERIES).withColumn("c", F.count("i").over(Window.partitionBy("user_id")))
-    return n.filter((F.col("i") == 0) | (F.col("i") == F.floor((F.col("c") - 1) / 2)) | (F.col("i") == F.col("c") - 1)).select("user_id", "event_id")
+    return segments.even_subsample(derive(spark, sf, _SERIES), "user_id", "i", 7).select("user_id", "event_id")
