@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelsieve.plans.catalog import VIDEO_ID_FORMS
+
 
 def _parts(url: Column) -> tuple[Column, Column]:
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^#]*)", 1)
@@ -54,5 +56,4 @@ def segment_order(url: Column, data: Column) -> Column:
 
 def video_id(url: Column) -> Column:
     """The id of a video's page by the first form that fits, else 'video'."""
-    forms = [r"/videos/(\d+)", r"[?&]v=(\d+)", r"/reel/(\d+)", r"[/=](\d{8,})"]
-    return F.coalesce(*[F.nullif(F.regexp_extract(url, f, 1), F.lit("")) for f in forms], F.lit("video"))
+    return F.coalesce(*[F.nullif(F.regexp_extract(url, f, 1), F.lit("")) for f in VIDEO_ID_FORMS], F.lit("video"))

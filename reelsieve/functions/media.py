@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reelsieve.plans.catalog import BACKOFF_HOURS, BACKOFF_MAX_HOURS, HI, LO, MAX_DURATION, MAX_DURATION_DEFAULT, STREAK_LIMIT
+from reelsieve.plans.catalog import BACKOFF_HOURS, BACKOFF_MAX_HOURS, CLOCK_FORM, DATE_FORM, HI, LO, MAX_DURATION, MAX_DURATION_DEFAULT, RECORDER_SUFFIXES, RECORDER_TAGS, STREAK_LIMIT
 
 
 def is_portrait(w: Column, h: Column, tolerance: float = 0.05) -> Column:
@@ -82,17 +82,17 @@ def segment_label(p: Column, hi: float = HI, lo: float = LO) -> Column:
 
 def clock_seconds(text: Column) -> Column:
     """Array of the times of day that stand in a text, in seconds."""
-    found = F.regexp_extract_all(text, F.lit(r"(?<!\d)((?:[01]?\d|2[0-3])[:.][0-5]\d[:.][0-5]\d)(?!\d)"), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(CLOCK_FORM), F.lit(1))
     return F.transform(found, lambda t: F.aggregate(F.transform(F.split(t, "[:.]"), lambda x: x.cast("int")), F.lit(0), lambda s, x: s * 60 + x))
 
 
 def has_date(text: Column) -> Column:
-    return F.rlike(text, F.lit(r"(?<!\d)(\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4})(?!\d)"))
+    return F.rlike(text, F.lit(DATE_FORM))
 
 
 def is_recorder(suffix: Column, container: Column, tags: Column) -> Column:
     """Made by a recorder, by file suffix, container or tags."""
-    return F.lower(suffix).isin(".dav", ".264", ".h264", ".265", ".h265") | F.rlike(F.lower(F.coalesce(container, F.lit(""))), F.lit("dhav")) | F.rlike(F.lower(F.coalesce(tags, F.lit(""))), F.lit(r"hikvision|dahua|dhav|uniview|ezviz|imou|kbvision|surveillance|\bnvr\b|\bdvr\b"))
+    return F.lower(suffix).isin(*RECORDER_SUFFIXES) | F.rlike(F.lower(F.coalesce(container, F.lit(""))), F.lit("dhav")) | F.rlike(F.lower(F.coalesce(tags, F.lit(""))), F.lit(RECORDER_TAGS))
 
 
 def backoff_hours(streak: Column) -> Column:

@@ -52,6 +52,14 @@ URL_RULES: tuple[tuple[str, str, str, bool], ...] = (
     ("dailymotion", r"/video/([A-Za-z0-9]+)", "video", False),
     ("dailymotion", r"dai\.ly/([A-Za-z0-9]+)", "video", True),
 )
+# What marks a recorder's file.
+RECORDER_SUFFIXES = (".dav", ".264", ".h264", ".265", ".h265")
+RECORDER_TAGS = r"hikvision|dahua|dhav|uniview|ezviz|imou|kbvision|surveillance|\bnvr\b|\bdvr\b"
+# Times of day and dates as they stand in a picture.
+CLOCK_FORM = r"(?<!\d)((?:[01]?\d|2[0-3])[:.][0-5]\d[:.][0-5]\d)(?!\d)"
+DATE_FORM = r"(?<!\d)(\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{2,4})(?!\d)"
+# Where the id of a video stands in its page's url, the first that fits counts.
+VIDEO_ID_FORMS = (r"/videos/(\d+)", r"[?&]v=(\d+)", r"/reel/(\d+)", r"[/=](\d{8,})")
 # Dataset labels and how they are displayed, in order.
 LABELS: tuple[tuple[str, str], ...] = (
     ("Abuse", "Abuse"), ("Arrest", "Arrest"), ("Arson", "Arson"), ("Explosion", "Explosion"),
