@@ -41,7 +41,7 @@ NOTICES = (
     ("eclipse public license version 2 0", "epl-2.0"),
     ("boost software license version 1 0", "bsl-1.0"),
     ("permission to use copy modify and or distribute this software for any purpose", "isc"),
-    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("free and unencumbered software", "unlicense"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
     ("licensed under cc by nd 4 0", "cc-by-nd"),
     ("creative commons attribution noncommercial", "cc-by-nc"),
