@@ -587,3 +587,76 @@ def test_pipeline_stages(spark, docs, sf):
     assert corpus_pipeline.benchmark_stage(spark, full, sf).columns == full.columns
     assert corpus_pipeline.token_stage(spark, full, sf).columns == [*full.columns, "n_tokens", "token_ids", "decoded"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "SimHash near-dedup", "benchmark decontamination", "BPE encoding and decoding"]
+
+
+def test_pipeline_brute_force(spark, tmp_path):
+    """run() over a small table against each stage in plain Python."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rng = random.Random(41)
+    footer, item = [words(rng, 30), words(rng, 25)], words(rng, 40)
+    texts = ["\n".join(words(rng, rng.randrange(20, 60)) for _ in range(rng.randrange(2, 7))) for _ in range(90)]
+    for i in range(0, 36, 3):
+        texts[i] += "\n" + "\n".join(footer)
+    texts += [f"{words(rng, 12)}\n" + "\n".join(footer) for _ in range(15)]  # little but the footer
+    common = words(rng, 9)
+    for i in (40, 50, 60, 70):
+        texts[i] = common + "\n" + texts[i]
+    for i in (5, 7, 9):
+        t = texts[i].split(" ")
+        texts += [texts[i], " ".join(w if k != 11 else "changed" for k, w in enumerate(t))]
+    texts[20] += f"\n{words(rng, 30)} {item.upper()} {words(rng, 30)}"
+    texts += ["too short", "", None, " ".join(["spam spam spam"] * 40)]
+    rows = [(i, t, "en", "h") for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, words(rng, 40))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted((r.doc_id, r.text, r.n_chars, r.n_tokens, list(r.token_ids), r.decoded) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    docs = {i: t or "" for i, t, _, _ in rows}
+    # quality: lines of over a hundredth of the distinct texts, ten at least, go; then what is short, repetitive or depleted
+    norm = lambda x: " ".join(x.lower().split())
+    held = Counter(h for t in set(docs.values()) for h in {norm(x) for x in t.split("\n")} - {""})
+    often = {h for h, n in held.items() if n >= 10 and n > 0.01 * len(set(docs.values()))}
+    assert often == {norm(x) for x in footer}
+    kept = {}
+    for i, t in docs.items():
+        ws = t.split()
+        win = Counter(tuple(ws[k : k + 3]) for k in range(len(ws) - 2))
+        inside = {k + d for k in range(len(ws) - 2) if win[tuple(ws[k : k + 3])] > 1 for d in range(3)}
+        gone = sum(len(x.split()) for x in t.split("\n") if norm(x) in often)
+        if len(ws) >= 50 and 100 * len(inside) <= 50 * len(ws) and len(ws) - gone >= 0.3 * len(ws):
+            kept[i] = "\n".join(x for x in t.split("\n") if norm(x) not in often)
+    assert not set(range(90, 105)) & set(kept)
+    # line dedup: a line of three documents stays in the last
+    keep = defaultdict(set)
+    for i, t in kept.items():
+        for x in t.split("\n"):
+            if len(x.strip()) >= 20:
+                keep[x.strip().lower()].add(i)
+    lined = {i: "\n".join(x for x in t.split("\n") if len(keep[x.strip().lower()]) < 3 or i == max(keep[x.strip().lower()])) for i, t in kept.items()}
+    assert lined != kept
+    # near duplicates: the first of each group of texts whose five-word shingles are alike by 0.8
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in lined.items()}
+    root = {i: i for i in lined}
+    for i in sorted(lined):
+        for j in sorted(lined):
+            if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = {k: min(a, b) if r in (a, b) else r for k, r in root.items()}
+    near = {i: t for i, t in lined.items() if root[i] == i}
+    assert len(near) < len(lined)
+    # decontamination
+    grams = lambda t: {tuple(w[k : k + 5]) for w in [re.findall(r"[^\W_]+", t.lower())] for k in range(len(w) - 4)}
+    clean = {i: t for i, t in near.items() if len(grams(item) & grams(t)) < 0.8 * len(grams(item))}
+    assert set(near) - set(clean) == {20}
+    ref = Tokenizer.from_file(bpe.default_path())
+    ref.no_padding()
+    ref.no_truncation()
+    want = []
+    for i, t in sorted(clean.items()):
+        ids = ref.encode(t, add_special_tokens=False).ids
+        want.append((i, t, len(t), len(ids), ids, ref.decode(ids, skip_special_tokens=False)))
+    assert got == want
