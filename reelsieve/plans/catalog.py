@@ -52,6 +52,25 @@ URL_RULES: tuple[tuple[str, str, str, bool], ...] = (
     ("dailymotion", r"/video/([A-Za-z0-9]+)", "video", False),
     ("dailymotion", r"dai\.ly/([A-Za-z0-9]+)", "video", True),
 )
+# What a page says that found nothing, and one whose video is gone (lower-cased).
+NO_RESULT_MARKERS = ("we couldn't find", "couldn't find anything", "aucun résultat", "nous n'avons trouvé")
+REMOVED_MARKERS = ("không còn nữa", "đã bị gỡ", "liên kết bị hỏng", "isn't available", "no longer available", "content isn", "video unavailable")
+# Links to a video among a page's links, and to a group.
+VIDEO_LINKS = (r"facebook\.com/watch\?", r"facebook\.com/reel/", r"facebook\.com/share/v/", r"facebook\.com/.+/videos/\d+", r"story_fbid=\d+")
+GROUP_LINK = r"facebook\.com/groups/[\w.\-]+$"
+# Colours of labels in annotations.
+LABEL_COLOURS = {
+    "Abuse": "#ffaaff", "Arrest": "#55aaff", "Arson": "#aaffff",
+    "Explosion": "#ffaa00", "Fighting": "#ffaaaa", "Normal": "#aaffaa",
+    "RoadAccident": "#ffffaa", "Robbery": "#28ffff", "Vandalism": "#00ff7f",
+    "ArmedFight": "#ff7f7f", "ArmedSuspect": "#ff5500", "Burglary": "#aa88ff",
+    "CarTheft": "#ffd27f", "Collapse": "#c8a07d", "GunRobber": "#ff557f",
+    "KnifeRobber": "#d07fff", "MotorTheft": "#7fbfff", "Shooting": "#ff0000",
+    "Smoke": "#b4b4b4", "Stealing": "#7fffd4", "Unconscious": "#ffb6c1",
+    "Drowning": "#5f9fff", "PourPetrol": "#e0c000", "Riot": "#ff8c69",
+    "ShootDown": "#c04040", "Stampede": "#9acd32", "Snatching": "#40e0d0",
+}
+COLOUR_ELSE = "#cccccc"
 # What marks a recorder's file.
 RECORDER_SUFFIXES = (".dav", ".264", ".h264", ".265", ".h265")
 RECORDER_TAGS = r"hikvision|dahua|dhav|uniview|ezviz|imou|kbvision|surveillance|\bnvr\b|\bdvr\b"

@@ -9,8 +9,9 @@ from reelsieve.functions import delivery as D
 from reelsieve.functions import hashing as H
 from reelsieve.functions import identity as I
 from reelsieve.functions import media as M
+from reelsieve.functions import pages as P
 from reelsieve.functions import text as X
-from reelsieve.operators import detection, discovery, probe, reporting, segments, tables
+from reelsieve.operators import detection, discovery, joins, probe, reporting, segments, tables
 from reelsieve.plans import catalog as C
 from reelsieve.plans.base import BOXES, URLS, derive, duck, query, table
 from reelsieve.sources import state
@@ -279,3 +280,70 @@ def probe_folds(spark, sf: str) -> DataFrame:
     """A probe of one label against the others, measured over five folds that keep groups together."""
     rows = table(spark, sf, "embeddings").select("embedding", (F.col("label") == 0).cast("int").alias("y"), (F.col("vec_id") % 50).alias("file"))
     return probe.cross_validate(rows, "embedding", "y", "file")
+
+
+@query("listed_videos", "SELECT event_id, event_type = 'view' OR event_id % 7 = 0 OR event_id % 11 = 0 AS video, event_type = 'click' AND value > 8 AS image FROM events")
+def listed_videos(spark, sf: str) -> DataFrame:
+    e, n = F.col("event_type"), F.col("event_id")
+    video = P.has_video(F.when(e == "view", True), F.when(n % 7 == 0, F.when(n % 2 == 0, "hosted:video").otherwise("rich:video")), F.when(n % 11 == 0, "v.redd.it").otherwise("i.redd.it"))
+    image = P.valid_image(F.when(e == "click", 28).otherwise(27), F.lit(64), F.when(F.col("value") > 8, F.col("value")).otherwise(7.9))
+    return table(spark, sf, "events").select("event_id", video.alias("video"), image.alias("image"))
+
+
+@query("page_markers", "SELECT page_id, page_id % 3 = 0 AS nothing, page_id % 5 = 0 AS removed FROM pages")
+def page_markers(spark, sf: str) -> DataFrame:
+    n = F.col("page_id")
+    body = F.concat(F.lit("<p>"), F.when(n % 3 == 0, "Well, We Couldn't Find it").otherwise("found"), F.lit("</p>"), F.when(n % 5 == 0, "Video Unavailable").otherwise("plays"))
+    return table(spark, sf, "pages").select("page_id", P.found_nothing(body).alias("nothing"), P.is_removed(body).alias("removed"))
+
+
+@query("page_links", "SELECT page_id, page_id % 4 = 0 AS is_group, CASE WHEN page_id % 4 IN (1, 2) THEN 'https://www.facebook.com/g/videos/' || page_id END AS video, CASE page_id % 4 WHEN 0 THEN 'https://www.facebook.com/groups/a.b-c' WHEN 1 THEN 'https://www.facebook.com/watch/?v=' || page_id WHEN 2 THEN 'https://www.facebook.com/watch/?v=' || page_id ELSE '/about' END AS watch FROM pages")
+def page_links(spark, sf: str) -> DataFrame:
+    n = F.col("page_id").cast("string")
+    k = F.col("page_id") % 4
+    href = F.when(k == 0, "https://www.facebook.com/groups/a.b-c").when(k == 1, F.concat(F.lit("/g/videos/"), n)).when(k == 2, F.concat(F.lit("https://www.facebook.com/g/videos/"), n)).otherwise("/about")
+    return table(spark, sf, "pages").select("page_id", P.is_group_link(href).alias("is_group"), P.video_link(href, "https://www.facebook.com").alias("video"), P.watch_url(href).alias("watch"))
+
+
+@query("watch_urls", "SELECT page_id, 'https://www.facebook.com/watch/?v=' || page_id || CASE WHEN page_id % 2 = 0 THEN '&idorvanity=77' ELSE '' END AS u FROM pages")
+def watch_urls(spark, sf: str) -> DataFrame:
+    n = F.col("page_id").cast("string")
+    u = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://facebook.com/groups/g/videos/"), n, F.lit("/?x=1&idorvanity=77"))).otherwise(F.concat(F.lit("https://facebook.com/watch?v="), n, F.lit("&ref=a")))
+    return table(spark, sf, "pages").select("page_id", P.watch_url(u).alias("u"))
+
+
+_COLOURS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.LABEL_COLOURS.items())
+
+
+@query("label_colours", f"SELECT label, CASE label {_COLOURS} ELSE '{C.COLOUR_ELSE}' END AS colour, CASE WHEN label = 'Normal' THEN label WHEN label < 'Normal' THEN label || ',Normal' ELSE 'Normal,' || label END AS offered FROM {_LABELS}")
+def label_colours(spark, sf: str) -> DataFrame:
+    offered = F.array_join(P.offered_labels(F.array("label")), ",")
+    return C.label_table(spark).select("label", P.label_colour(F.col("label")).alias("colour"), offered.alias("offered"))
+
+
+@query("platform_jobs", "SELECT p, CASE WHEN p = 'facebook' THEN 'social_crawler_fb' ELSE 'social_crawler_' || p END AS job, p IN ('x', 'vimeo') AS ok, p = 'facebook' AS blocks FROM (VALUES " + ", ".join(f"('{p}')" for p in C.HOSTS) + ") AS t(p)")
+def platform_jobs(spark, sf: str) -> DataFrame:
+    rows = spark.createDataFrame([(p, "alive" if p == "x" else "refreshed" if p == "vimeo" else "login_needed") for p in C.HOSTS], "p string, s string")
+    return rows.select("p", P.job_name(F.col("p")).alias("job"), P.session_ok(F.col("s")).alias("ok"), P.session_blocks(F.col("p"), F.col("s")).alias("blocks"))
+
+
+@query("stem_urls", "WITH f AS (SELECT 'clip' || (p_partkey % 40) AS stem, min_by('u' || p_partkey, p_partkey) AS url FROM part WHERE p_partkey % 3 > 0 GROUP BY 1) SELECT p_partkey, url FROM part LEFT JOIN f ON stem = 'clip' || (p_partkey % 60)")
+def stem_urls(spark, sf: str) -> DataFrame:
+    """A file's url by the stem of its name: that of the first row whose file has it."""
+    n = F.col("p_partkey")
+    rows = table(spark, sf, "part").filter("p_partkey % 3 > 0").select(n.alias("id"), F.concat(F.lit("u"), n.cast("string")).alias("url"), F.concat(F.lit("/x/clip"), (n % 40).cast("string"), F.lit(".mp4")).alias("path"))
+    files = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("/y/z/clip"), (n % 60).cast("string"), F.lit(".mkv")).alias("path"))
+    stem = lambda c: F.regexp_extract(c, r"([^/]*?)(?:[.][^./]*)?$", 1)
+    return joins.first_match(files.withColumn("stem", stem(F.col("path"))), rows.withColumn("stem", stem(F.col("path"))), ["stem"], out="url_of").select("p_partkey", F.col("url_of").alias("url"))
+
+
+@query("source_complete", "SELECT o_orderkey, coalesce(c.f = 1, false) AS complete FROM orders LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 1 WHEN c_custkey % 3 = 1 THEN 0 END AS f FROM customer WHERE c_nationkey < 20) c ON c_custkey = o_custkey")
+def source_complete(spark, sf: str) -> DataFrame:
+    sources = table(spark, sf, "customer").filter("c_nationkey < 20").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_custkey") % 3 == 0, 1).when(F.col("c_custkey") % 3 == 1, 0).alias("f"))
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(sources, "o_custkey", "left").select("o_orderkey", F.coalesce(F.col("f") == 1, F.lit(False)).alias("complete"))
+
+
+@query("new_fingerprints", "SELECT event_type AS platform, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15') AS in_window, count(*) AS total FROM events GROUP BY ROLLUP (event_type)")
+def new_fingerprints(spark, sf: str) -> DataFrame:
+    late = F.count(F.when(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz"), 1))
+    return table(spark, sf, "events").rollup(F.col("event_type").alias("platform")).agg(late.alias("in_window"), F.count(F.lit(1)).alias("total"))
