@@ -97,7 +97,7 @@ def report_warnings(spark, sf: str) -> DataFrame:
     return reporting.warnings(runs, touched, live, jobs, expected, outcomes, table(spark, sf, "region").select(F.col("r_name").alias("label")), 1e9)
 
 
-_FRAMES_OF = "SELECT l_orderkey AS video, l_linenumber % 2 AS seg, l_discount * 10 AS p_visual, CAST(l_partkey % 24 AS DOUBLE) AS saturation FROM {lineitem}"
+_FRAMES_OF = "SELECT l_orderkey AS video, l_linenumber % 2 AS seg, CAST(l_partkey % 1000 AS DOUBLE) / 1024 AS p_visual, CAST(l_partkey % 24 AS DOUBLE) AS saturation FROM {lineitem}"
 
 
 @query("segment_means", f"SELECT video, seg, CAST(floor(avg(p_visual) * 1000 + 0.5) AS BIGINT) AS p, CAST(floor(avg(CASE WHEN saturation < 12 THEN 1.0 ELSE 0.0 END) * 1000 + 0.5) AS BIGINT) AS gray FROM ({duck(_FRAMES_OF)}) GROUP BY 1, 2")
