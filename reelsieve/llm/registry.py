@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelsieve.llm import bpe, chaining, decontaminate, license_scan, line_dedup, quality, simhash, suffix_dedup, token_counts, url_filter
+from reelsieve.llm import bpe, chaining, decontaminate, license_scan, line_dedup, merkle, quality, simhash, suffix_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_suffix_dedup": (suffix_dedup.query, None),
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality": (quality.query, quality.ORACLE),
     "op9_line_dedup": (line_dedup.query, line_dedup.ORACLE),
     "op10_decontaminate": (decontaminate.query, decontaminate.ORACLE),
+    "op11_merkle_manifest": (merkle.query, merkle.ORACLE),
 }
 
 
