@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelsieve.llm import bpe, chaining, decontaminate, license_scan, line_dedup, merkle, quality, simhash, suffix_dedup, token_counts, url_filter
+from reelsieve.llm import bpe, chaining, decontaminate, fingerprints, license_scan, line_dedup, merkle, quality, simhash, suffix_dedup, token_counts, url_filter, whitening
 
 QUERIES = {
     "op1_suffix_dedup": (suffix_dedup.query, None),
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_line_dedup": (line_dedup.query, line_dedup.ORACLE),
     "op10_decontaminate": (decontaminate.query, decontaminate.ORACLE),
     "op11_merkle_manifest": (merkle.query, merkle.ORACLE),
+    "op12_whitening": (whitening.query, None),
+    "op13_fingerprints": (fingerprints.query, None),
 }
 
 
