@@ -147,7 +147,7 @@ def _attach(ordered: DataFrame, paths: DataFrame, fan: int) -> DataFrame:
     new = [("level", "int"), ("subroot", "string"), ("root", "string"), ("proof", PROOF)]
     leaves = ordered.select("part", "i", F.lit(1).alias("kind"), "row", "leaf", *[F.lit(None).cast(t).alias(c) for c, t in new])
     heads = paths.select("part", "i", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("row"), F.lit(None).cast("string").alias("leaf"), *[c for c, _ in new])
-    both = leaves.unionByName(heads).repartitionById(ordered.rdd.getNumPartitions(), "part").sortWithinPartitions("part", "i", "kind")
+    both = leaves.unionByName(heads).repartitionById(max(1, ordered.rdd.getNumPartitions()), "part").sortWithinPartitions("part", "i", "kind")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, ready, block, head = [], [], [], None  # rows of leaves, their results, the leaves of the open subtree, its path
