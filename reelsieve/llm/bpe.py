@@ -207,6 +207,12 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _place(df: DataFrame, name: str) -> int:
+    """Where the column is that Spark finds under a name, whatever its case; its error if there is none or more than one."""
+    df.select(name)
+    return min((i for i, c in enumerate(df.columns) if c.lower() == name.lower()), key=lambda i: df.columns[i] != name)
+
+
 def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", digests: bool = False) -> DataFrame:
     """docs with n_tokens, token_ids (array of int) and decoded; with digests, ids_sha256 and decoded_sha256 in place of
     the last two. path: None for the public file's place on each worker."""
@@ -215,6 +221,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
     names = [f.name for f in new]
     kept = docs.drop(*[c for c in docs.columns if c.lower() in names])
     schema = T.StructType([*kept.schema.fields, *new])
+    at_text = _place(kept, text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -224,7 +231,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 n, a, b = [], [], []
-                for text in part.column(part.schema.get_field_index(text_col)).to_pylist():
+                for text in part.column(at_text).to_pylist():
                     raw = tok.encode(text or "")
                     ids = np.frombuffer(raw, "<u4").tolist()
                     decoded = tok.decode(ids)
@@ -240,11 +247,12 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
 def decode(df: DataFrame, path: str | None = None, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
     """df with the decoded text of its ids; null ids give null."""
     kept = df.drop(out)
+    at_ids = _place(kept, ids_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path or default_path())
         for batch in batches:
-            texts = [None if ids is None else tok.decode(ids) for ids in batch.column(batch.schema.get_field_index(ids_col)).to_pylist()]
+            texts = [None if ids is None else tok.decode(ids) for ids in batch.column(at_ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
     return kept.mapInArrow(rows, T.StructType([*kept.schema.fields, T.StructField(out, T.StringType())]))

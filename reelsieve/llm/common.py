@@ -40,6 +40,12 @@ def text_key(text_col: str = "row.text") -> list[Column]:
     return [F.xxhash64(t).alias("t1"), F.xxhash64(t, F.lit(1)).alias("t2")]
 
 
+def small_bytes(df: DataFrame, size: Column, max_bytes: int) -> tuple[DataFrame, bool]:
+    """df with a broadcast hint if the sizes of its rows come to at most max_bytes, else as it is; df should be cut."""
+    few = (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+    return (F.broadcast(df) if few else df), few
+
+
 def pack(df: DataFrame) -> DataFrame:
     """df as one struct column ``row``: whatever its columns are called, they clash with no name that an operator uses."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import NO_ID, cut, doc_key, let, pack, small, text_key
+from reelsieve.llm.common import NO_ID, cut, doc_key, let, pack, small, small_bytes, text_key
 
 
 def shingle_hashes(text: Column, width: int = 5) -> Column:
@@ -42,17 +42,18 @@ def item_sketches(items: DataFrame, threshold: float, width: int) -> DataFrame:
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, width: int = 5, broadcast_rows: int = 1_000_000) -> DataFrame:
     """did, t1, t2, iid, n_shared, n_shingles of each document and item whose containment reaches the threshold.
-    Sketch rows are broadcast when they count at most ``broadcast_rows``, else joined by a shuffle."""
-    sketches = cut(item_sketches(items, threshold, width))
-    index, _ = small(cut(sketches.select("iid", F.explode("sketch").alias("h"))), broadcast_rows)
+    Sketch rows (16 bytes each) are broadcast when they count at most ``broadcast_rows``, whole items when their hashes come
+    to at most 64 bytes for each of these; else both are joined by a shuffle."""
+    sketches = cut(item_sketches(items, threshold, width).withColumn("item", F.monotonically_increasing_id()))  # ids may be null or equal
+    index, _ = small(cut(sketches.select("item", F.explode("sketch").alias("h"))), broadcast_rows)
     packed = pack(docs)
     keyed = packed.select(doc_key(), *text_key(), F.col("row.text").alias("text"))
     probes = keyed.select("did", "t1", "t2", F.explode(shingle_hashes(F.col("text"), width)).alias("h"))
-    found = cut(probes.join(index, "h").select("did", "t1", "t2", "iid").distinct())
+    found = cut(probes.join(index, "h").select("did", "t1", "t2", "item").distinct())
     # the texts of candidates only: a semi-join, which Spark turns into a filter at the scan when the sides differ much
     texts = keyed.join(found.select("did", "t1", "t2").distinct(), ["did", "t1", "t2"], "left_semi").dropDuplicates(["did", "t1", "t2"])
-    full, _ = small(sketches.select("iid", "hs"), max(1, broadcast_rows // 100))
-    pairs = found.join(full, "iid").join(texts.select("did", "t1", "t2", shingle_hashes(F.col("text"), width).alias("ds")), ["did", "t1", "t2"])
+    full, _ = small_bytes(sketches.select("item", "iid", "hs"), 8 * F.size("hs") + 50, 64 * broadcast_rows)
+    pairs = found.join(full, "item").join(texts.select("did", "t1", "t2", shingle_hashes(F.col("text"), width).alias("ds")), ["did", "t1", "t2"])
     shared = pairs.select("did", "t1", "t2", "iid", F.size(F.array_intersect("ds", "hs")).cast("long").alias("n_shared"), F.size("hs").cast("long").alias("n_shingles"))
     return shared.filter(F.col("n_shared") >= threshold * F.col("n_shingles") - 1e-9)
 

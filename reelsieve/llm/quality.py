@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelsieve.llm.common import HOT_PARTS, WS, cut, join_spread, let, pack, small, text_key, unpack, words
+from reelsieve.llm.common import HOT_PARTS, WS, cut, join_spread, let, pack, small, small_bytes, text_key, unpack, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -76,7 +76,7 @@ def common_lines(packed: DataFrame, host: str, share: float, min_docs: int, broa
         total = held.agg(F.sum("n_docs")).first()[0] or 0
         met = join_spread(lines, held, ["host", "h"], held.filter(F.col("n_docs") > total / HOT_PARTS), [F.col("t1")]).filter("n_docs IS NOT NULL")
     common = met.groupBy("host", "t1", "t2").agg(F.first("copies").alias("copies"), F.sum("n").cast("long").alias("n_common"), F.collect_list("pos").alias("gone"))
-    return small(cut(common), broadcast_rows)
+    return small_bytes(cut(common), 4 * F.size("gone") + 60, 100 * broadcast_rows)
 
 
 def judged(docs: DataFrame, host: str, share: float, min_docs: int, least_left: float, broadcast_rows: int) -> DataFrame:
@@ -100,8 +100,8 @@ def judged(docs: DataFrame, host: str, share: float, min_docs: int, least_left:
 
 def judge(docs: DataFrame, host: str = "source", share: float = 0.01, min_docs: int = 10, least_left: float = 0.3, broadcast_rows: int = 100_000) -> DataFrame:
     """docs with the features, n_common_words (words in lines over the limit), base_failed and kept. The lines over the
-    limit, and the texts that hold any, are each broadcast when they count at most ``broadcast_rows`` (of a few dozen
-    bytes), else joined by a shuffle that deals out lines of very many texts and texts of very many copies."""
+    limit, and the texts that hold any, are each broadcast when they count at most ``broadcast_rows`` (texts: 100 bytes for
+    each of these, with the places of their lines), else joined by a shuffle that deals out lines of very many texts and texts of very many copies."""
     joined = judged(docs, host, share, min_docs, least_left, broadcast_rows)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return unpack(joined, docs.columns, **{k: F.col(f"f_{k}") for k in names}, n_common_words=F.col("n_common"), base_failed=F.col("failed"), kept=F.col("kept"))

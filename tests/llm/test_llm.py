@@ -511,6 +511,26 @@ def test_decontaminate(spark, docs, corpus):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(d) for d, _, _ in corpus if d not in {w[0] for w in want})
 
 
+def test_decontaminate_null_and_equal_item_ids(spark):
+    rng = random.Random(3)
+    a, b, c = (words(rng, 30) for _ in range(3))
+    items = spark.createDataFrame([(None, a), (None, b), (7, b), (7, c), (7, c)], "item_id long, text string")
+    df = spark.createDataFrame([(1, f"x {a} y"), (2, b), (3, f"{c} z"), (4, words(rng, 40)), (None, a)], "doc_id long, text string")
+    got = sorted((r.did, repr(r.iid), r.n_shared) for r in decontaminate.leaks(df, items).collect())
+    assert got == sorted([(1, "None", 26), (2, "None", 26), (2, "7", 26), (3, "7", 26), (-(2**63), "None", 26)])
+    assert sorted(repr(r) for r in decontaminate.leaks(df, items, broadcast_rows=0).select("did", "iid").collect()) == sorted(repr(r) for r in decontaminate.leaks(df, items).select("did", "iid").collect())
+    assert [r.doc_id for r in decontaminate.clean(df, items).collect()] == [4]
+
+
+def test_bpe_finds_its_column_in_any_case(spark):
+    df = spark.createDataFrame([(1, "hello there", "tail"), (2, None, "x")], "doc_id long, Text string, tail string")
+    tok = bpe.tokenizer(bpe.default_path())
+    got = bpe.encode(df)
+    assert {r.doc_id: r.decoded for r in got.collect()} == {1: tok.decode(np.frombuffer(tok.encode("hello there"), "<u4").tolist()), 2: ""}
+    again = bpe.decode(got.drop("decoded").withColumnRenamed("token_ids", "Token_Ids").withColumn("last", F.array(F.lit(5))))
+    assert {r.doc_id: r.decoded for r in again.collect()} == {r.doc_id: r.decoded for r in got.collect()}
+
+
 def test_empty_tables_and_clashing_names(spark):
     clash = "doc_id long, text string, source string, did string, t1 int, t int, h int, row string, n_lines string, fp string, cuts int, n_words string, kept string"
     empty = spark.createDataFrame([], clash)
