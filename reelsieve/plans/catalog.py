@@ -129,9 +129,11 @@ HELMET_GROUPS = ((0,), (1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4))
 # Thresholds.
 L3_BELOW, L4_MEAN_BELOW, DURATION_SHARE = 8, 10, 0.20
 CROSS_DISTANCE, CROSS_FRAMES, LOW_EDGE = 6, 2, 5.0
+FRAME_POSITIONS = (0.1, 0.3, 0.5, 0.7, 0.9)
 HI, LO, MIN_SECONDS = 0.7, 0.3, 2.0
 CUT_LEVEL, MIN_SHOT_S, MERGE_GAP_S = 27.0, 0.5, 0.5
 STREAK_LIMIT, BACKOFF_HOURS, BACKOFF_MAX_HOURS = 3, 6, 48
+RETRY_FIRST_S, RETRY_MOST_S = 600, 43_200
 MAX_DURATION, MAX_DURATION_DEFAULT = {"dailymotion": 900}, 1800
 
 
