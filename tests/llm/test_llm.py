@@ -185,6 +185,73 @@ def test_chaining_pieces_shadow_nothing(spark, early):
     assert [(r.doc_id, r.other_id, r.n_equal) for r in got] == [(501, 500, 120)]
 
 
+def test_chaining_second_partner(spark):
+    """A text shares most of itself with one other, and most of that and a passage more with a second one."""
+    rng = random.Random(26)
+    rows, want = [], set()
+    for g in range(12):
+        body, more = [rng.choice(WORDS) for _ in range(1000)], [rng.choice(WORDS) for _ in range(90)]
+        parts = (body + [f"x{g}"] + more, body, [f"b{g}"] + body[:900] + [f"c{g}"] * 3 + more)
+        order = rng.sample(range(3), 3)
+        ids = {k: 3 * g + order[k] for k in range(3)}
+        rows += [(ids[k], " ".join(p)) for k, p in enumerate(parts)]
+        want.add((max(ids[0], ids[2]), min(ids[0], ids[2])))
+    got = defaultdict(list)
+    for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id, r.other_id].append(r)
+    for pair in want:  # the passage of 90 words is in a row of this pair
+        spans = [(r.first_byte, r.last_byte) for r in got[pair]]
+        text = dict(rows)[pair[0]].encode()
+        assert any(len(set(text[a:b].decode().split()) & {"nothing"}) == 0 and len(text[a:b].split()) >= 85 and (f"x{pair[0] // 3}" in text[:a].decode() or f"c{pair[0] // 3}" in text[:a].decode() or f"x{pair[0] // 3}".encode() in text[a:b] or f"c{pair[0] // 3}".encode() in text[a:b]) for a, b in spans)
+
+
+def test_chaining_common_pieces_and_edits(spark):
+    """Forty texts hold the first 40 words of a passage, forty the last 40, and two hold all 60 but for three words each."""
+    rng = random.Random(27)
+    rows, want = [], set()
+    for g in range(15):
+        p = [rng.choice(WORDS) for _ in range(60)]
+        parts = [p[:40]] * 40 + [p[20:]] * 40
+        for k in range(2):
+            q = list(p)
+            for x in rng.sample(range(60), 3):
+                q[x] = f"z{g}x{k}x{x}"
+            parts.append(q)
+        order = rng.sample(range(82), 82)
+        rows += [(82 * g + i, f"{words(rng, 30)} {' '.join(q)} {words(rng, 30)}") for i, q in zip(order, parts)]
+        want.add((82 * g + max(order[80:]), 82 * g + min(order[80:])))
+    got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want & got) >= 14 and not {(a, b) for a, b in got if a // 82 != b // 82}
+
+
+def test_chaining_periodic(spark):
+    """Stretches that repeat a few words again and again."""
+    rng = random.Random(28)
+    rows, want = [], set()
+    for g in range(20):
+        unit = [f"p{g}x{k}" for k in range(rng.choice([1, 3, 4, 5, 7]))]
+        stretch = (unit * 80)[: rng.choice([60, 75, 200])]
+        for i in range(2):
+            rows.append((2 * g + i, f"{' '.join(f'a{g}x{i}x{k}' for k in range(rng.randrange(20, 60)))} {' '.join(stretch)} {' '.join(f'b{g}x{i}x{k}' for k in range(30))}"))
+        want.add((2 * g + 1, 2 * g))
+    assert {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+
+
+def test_chaining_on_any_partitioning(spark):
+    rng = random.Random(29)
+    shared = [[rng.choice(WORDS) for _ in range(rng.randrange(50, 300))] for _ in range(8)]
+    texts = [" ".join(w if rng.random() > 0.05 else f"z{i}" for x in rng.sample(shared, 3) for w in x) for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before, sets = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (4, 7, 11):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            sets.append(sorted(map(repr, chaining.shared_passages(df.repartition(n)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sets[0] == sets[1] == sets[2] and len(sets[0]) > 60
+
+
 def test_chaining_brute_force(spark):
     """Texts that share min_words equal words are linked, and what is reported is as alike as it says."""
     rng = random.Random(24)
