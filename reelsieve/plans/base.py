@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelsieve.plans.catalog import HOSTS, LABELS, REJECT_GROUP, STATUS
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +71,10 @@ BOXES = """SELECT l_orderkey AS image, CAST(row_number() OVER (PARTITION BY l_or
 # segments: an order's lines as intervals of seconds with a probability
 SEGMENTS = """SELECT l_orderkey AS video, l_linenumber AS no, CAST(l_partkey % 40 AS DOUBLE) AS s, CAST(l_partkey % 40 + 1 + l_suppkey % 4 AS DOUBLE) AS e,
  CAST(l_suppkey % 100 AS DOUBLE) / 100 AS prob FROM {lineitem}"""
+# parts named like labels in some ways, or not at all
+LABEL_ROWS = "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(LABELS)) + ") AS t(ord, label, display)"
+NAMES = f"""SELECT p_partkey, p_name, p_type, label AS own, display, CASE p_size % 4 WHEN 0 THEN upper(display) WHEN 1 THEN concat('The ', lower(label)) WHEN 2 THEN label ELSE p_name END AS name
+ FROM {{part}} JOIN {LABEL_ROWS} ON ord = p_partkey % {len(LABELS)}"""
+# an outcome and a platform for each event
+OUTCOMES = "SELECT event_id, event_type, value, outcome, grp FROM {events} JOIN (VALUES " + ", ".join(f"({i}, '{o}', " + (f"'{REJECT_GROUP[o]}'" if o in REJECT_GROUP else "NULL") + ")" for i, o in enumerate(STATUS)) + f") AS t(no, outcome, grp) ON no = event_id % {len(STATUS)}"
+PLATFORMS = "SELECT event_id, event_type, value, p FROM {events} JOIN (VALUES " + ", ".join(f"({i}, '{h}')" for i, h in enumerate(HOSTS)) + f") AS t(no, p) ON no = user_id % {len(HOSTS)}"

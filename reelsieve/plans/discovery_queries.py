@@ -13,11 +13,10 @@ from reelsieve.functions import pages as P
 from reelsieve.functions import text as X
 from reelsieve.operators import detection, discovery, joins, probe, reporting, segments, tables
 from reelsieve.plans import catalog as C
-from reelsieve.plans.base import BOXES, URLS, derive, duck, query, table
+from reelsieve.plans.base import BOXES, NAMES, PLATFORMS, URLS, derive, duck, query, table
 from reelsieve.sources import state
 from reelsieve.streaming import streams
 
-_LABELS = "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(C.LABELS)) + ") AS t(ord, label, display)"
 
 def _items(spark, sf: str, where: str, most: int) -> DataFrame:
     """The first names of each part type."""
@@ -30,21 +29,19 @@ def search_plan(spark, sf: str) -> DataFrame:
     return discovery.search_plan(_items(spark, sf, "true", 3), "reddit", ["all", "cctv", "streets"])
 
 
-@query("parse_per_label", f"SELECT label, CASE WHEN ord % 2 = 0 THEN 'gamma ' || ord ELSE 'Alpha clip ' || ord || '/new camera' END AS items FROM {_LABELS}")
+# a line of phrases for each part, for the label that it is named after, if it is
+_LINES = f"SELECT p_partkey, concat(CASE p_partkey % 3 WHEN 0 THEN upper(display) WHEN 1 THEN replace(display, ' ', '') ELSE own END, ': ', p_name, ' | ', upper(p_name), ' | - ', lower(p_type), ' clip', CASE WHEN p_partkey % 5 = 0 THEN ' | x x' ELSE '' END) AS line, own FROM ({NAMES}) WHERE name = own OR name = upper(display)"
+
+
+@query("parse_per_label", f"SELECT own AS label, arg_max(p_name || '/' || lower(p_type) || ' clip', p_partkey) AS items FROM (SELECT * FROM ({duck(NAMES)}) WHERE name = own OR name = upper(display)) GROUP BY own")
 def parse_per_label(spark, sf: str) -> DataFrame:
-    labels = C.label_table(spark)
-    first = labels.select("ord", F.format_string("%s: Alpha clip %d | alpha CLIP %d | beta beta | - new camera", F.upper("display"), "ord", "ord").alias("line"))
-    second = labels.filter("ord % 2 = 0").select((F.col("ord") + 100).alias("ord"), F.format_string(' 1. %s: "gamma %d" | ', F.replace("display", F.lit(" "), F.lit("")), "ord").alias("line"))
-    bad = labels.select((F.col("ord") + 200).alias("ord"), F.concat("label", F.lit(": x x | ")).alias("line"))
-    lines = first.unionByName(second).unionByName(bad).select(F.col("ord").alias("no"), "line")
-    return discovery.parse_per_label(lines, labels, 3).select("label", F.array_join("items", "/").alias("items"))
+    lines = derive(spark, sf, _LINES).select(F.col("p_partkey").alias("no"), "line")
+    return discovery.parse_per_label(lines, C.label_table(spark), 3).select("label", F.array_join("items", "/").alias("items"))
 
 
-@query("enabled_labels", f"SELECT pos, label, known FROM (SELECT ord % 9 AS pos, min_by(label, ord) AS label, true AS known FROM {_LABELS} WHERE ord < 9 GROUP BY 1 UNION ALL SELECT 100, 'No Such', false)")
+@query("enabled_labels", f"SELECT p_partkey AS pos, CASE WHEN known THEN own ELSE name END AS label, known FROM (SELECT *, name = own OR name = upper(display) AS known FROM ({duck(NAMES)}))")
 def enabled_labels(spark, sf: str) -> DataFrame:
-    labels = C.label_table(spark)
-    item = F.when(F.col("ord") % 3 == 0, F.upper("label")).when(F.col("ord") % 3 == 1, F.concat(F.lit("  "), F.lower("display"))).otherwise(F.lower("label"))
-    wanted = labels.filter("ord < 9").select(F.col("ord").alias("pos"), item.alias("item")).unionByName(spark.createDataFrame([(100, "No Such"), (101, "  ")], "pos int, item string"))
+    labels, wanted = C.label_table(spark), derive(spark, sf, NAMES).select(F.col("p_partkey").alias("pos"), F.col("name").alias("item"))
     named = discovery.enabled_labels(labels, wanted).select("pos", "label", F.lit(True).alias("known"))
     return named.unionByName(discovery.unknown_labels(labels, wanted).select("pos", F.col("item").alias("label"), F.lit(False).alias("known")))
 
@@ -315,16 +312,18 @@ def watch_urls(spark, sf: str) -> DataFrame:
 _COLOURS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.LABEL_COLOURS.items())
 
 
-@query("label_colours", f"SELECT label, CASE label {_COLOURS} ELSE '{C.COLOUR_ELSE}' END AS colour, CASE WHEN label = 'Normal' THEN label WHEN label < 'Normal' THEN label || ',Normal' ELSE 'Normal,' || label END AS offered FROM {_LABELS}")
+@query("label_colours", f"SELECT p_partkey, CASE name {_COLOURS} ELSE '{C.COLOUR_ELSE}' END AS colour, CASE WHEN name = 'Normal' THEN name WHEN name < 'Normal' THEN name || ',Normal' ELSE 'Normal,' || name END AS offered FROM ({duck(NAMES)})")
 def label_colours(spark, sf: str) -> DataFrame:
-    offered = F.array_join(P.offered_labels(F.array("label")), ",")
-    return C.label_table(spark).select("label", P.label_colour(F.col("label")).alias("colour"), offered.alias("offered"))
+    offered = F.array_join(P.offered_labels(F.array("name")), ",")
+    return derive(spark, sf, NAMES).select("p_partkey", P.label_colour(F.col("name")).alias("colour"), offered.alias("offered"))
+
+
+_LOGINS = f"SELECT event_id, p, CASE event_type WHEN 'view' THEN 'alive' WHEN 'click' THEN 'refreshed' WHEN 'error' THEN NULL ELSE 'login_needed' END AS s FROM ({PLATFORMS})"
 
 
-@query("platform_jobs", "SELECT p, CASE WHEN p = 'facebook' THEN 'social_crawler_fb' ELSE 'social_crawler_' || p END AS job, p IN ('x', 'vimeo') AS ok, p = 'facebook' AS blocks FROM (VALUES " + ", ".join(f"('{p}')" for p in C.HOSTS) + ") AS t(p)")
+@query("platform_jobs", f"SELECT event_id, CASE WHEN p = 'facebook' THEN 'social_crawler_fb' ELSE 'social_crawler_' || p END AS job, coalesce(s IN ('alive', 'refreshed'), false) AS ok, coalesce(p IN ('x', 'facebook') AND s = 'login_needed', false) AS blocks FROM ({duck(_LOGINS)})")
 def platform_jobs(spark, sf: str) -> DataFrame:
-    rows = spark.createDataFrame([(p, "alive" if p == "x" else "refreshed" if p == "vimeo" else "login_needed") for p in C.HOSTS], "p string, s string")
-    return rows.select("p", P.job_name(F.col("p")).alias("job"), P.session_ok(F.col("s")).alias("ok"), P.session_blocks(F.col("p"), F.col("s")).alias("blocks"))
+    return derive(spark, sf, _LOGINS).select("event_id", P.job_name(F.col("p")).alias("job"), P.session_ok(F.col("s")).alias("ok"), P.session_blocks(F.col("p"), F.col("s")).alias("blocks"))
 
 
 @query("stem_urls", "WITH f AS (SELECT 'clip' || (p_partkey % 40) AS stem, min_by('u' || p_partkey, p_partkey) AS url FROM part WHERE p_partkey % 3 > 0 GROUP BY 1) SELECT p_partkey, url FROM part LEFT JOIN f ON stem = 'clip' || (p_partkey % 60)")

@@ -9,7 +9,7 @@ from reelsieve.functions import hashing as H
 from reelsieve.functions import media as M
 from reelsieve.functions import text as X
 from reelsieve.plans import catalog as C
-from reelsieve.plans.base import derive, duck, query, table
+from reelsieve.plans.base import LABEL_ROWS, NAMES, derive, duck, query, table
 
 _VIEWS = "SELECT l_orderkey % 500 AS win, l_linenumber AS clip, l_suppkey % 3 AS crop, l_partkey % 4 AS cls, CAST(l_partkey % 50 AS DOUBLE) / 10 AS logit FROM {lineitem}"
 
@@ -32,11 +32,19 @@ def view_aggregation(spark, sf: str) -> DataFrame:
     return probs(v, ["win"]).select("win", "cls", whole(F.col("p")).alias("p_mean")).join(top, ["win", "cls"])
 
 
-@query("dataset_label", "SELECT model, label FROM (VALUES ('Road Accident', 'RoadAccident'), ('Gun-toting robber', 'GunRobber'), ('Smoke', 'Smoke'), ('Smok', 'Smoke'), ('armed fight', 'ArmedFight'), ('Theft of car', 'CarTheft'), ('To Drown', 'Drowning')) AS t(model, label)")
+_CAMEL = "regexp_replace({0}, '([a-z])([A-Z])', '\\1 \\2', 'g')"
+_TOK = "list_filter(string_split_regex(lower(" + _CAMEL + "), '[^0-9a-z]+'), lambda x: x <> '')"
+_ALIKE = "({0} <> '' AND {1} <> '' AND ({0} = {1} OR list_has_all({3}, {2}) OR list_has_all({2}, {3}) OR (least(length({0}), length({1})) >= 4 AND (starts_with({0}, {1}) OR starts_with({1}, {0})))))"
+
+
+@query("dataset_label", f"""WITH m AS (SELECT DISTINCT name AS model FROM ({duck(NAMES)})), t AS (SELECT model, label, display, ord, {_TOK.format('model')} AS tm, {_TOK.format('label')} AS tl, {_TOK.format('display')} AS td FROM m CROSS JOIN {LABEL_ROWS}),
+j AS (SELECT *, array_to_string(tm, '') AS nm, array_to_string(tl, '') AS nl, array_to_string(td, '') AS nd FROM t),
+s AS (SELECT model, label, ord, CASE WHEN lower(display) = lower(model) THEN 0 WHEN lower(label) = regexp_replace(lower(model), '[^0-9a-z]', '', 'g') THEN 1 WHEN {_ALIKE.format('nm', 'nl', 'tm', 'tl')} OR {_ALIKE.format('nm', 'nd', 'tm', 'td')} THEN 2 END AS step FROM j)
+SELECT model, min_by(label, step * 1000 + ord) AS label FROM s GROUP BY model""")
 def dataset_label(spark, sf: str) -> DataFrame:
     """A model's class name as a dataset label: by display name, then letters, then words; the first label of the best."""
-    models = spark.createDataFrame([(m,) for m in ("Road Accident", "Gun-toting robber", "Smoke", "Smok", "armed fight", "Theft of car", "To Drown")], "model string")
-    pairs = models.crossJoin(F.broadcast(C.label_table(spark)))  # a few class names with 27 labels
+    labels = F.inline(F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(a).alias("label"), F.lit(b).alias("display")) for i, (a, b) in enumerate(C.LABELS)]))
+    pairs = derive(spark, sf, NAMES).select(F.col("name").alias("model")).distinct().select("model", labels)  # each with the 27 labels
     flat = F.regexp_replace(F.lower("model"), "[^0-9a-z]", "")
     step = F.when(F.lower("display") == F.lower("model"), 0).when(F.lower("label") == flat, 1).when(X.same_label(F.col("model"), F.col("label")) | X.same_label(F.col("model"), F.col("display")), 2)
     return pairs.withColumn("step", step).groupBy("model").agg(F.min_by("label", F.when(F.col("step").isNotNull(), F.struct("step", "ord"))).alias("label"))

@@ -11,7 +11,7 @@ from reelsieve.functions import media as M
 from reelsieve.functions import text as X
 from reelsieve.operators import graph, joins, scheduling, tables
 from reelsieve.plans import catalog as C
-from reelsieve.plans.base import FRAMES, URLS, VIDEOS, derive, duck, query, table
+from reelsieve.plans.base import FRAMES, LABEL_ROWS, NAMES, OUTCOMES, PLATFORMS, URLS, VIDEOS, derive, duck, query, table
 
 _NETLOC = "split_part(list_last(string_split(lower(regexp_extract(coalesce(u, ''), '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1)), '@')), ':', 1)"
 _PLATFORM = "CASE " + " ".join(f"WHEN host = '{h}' OR ends_with(host, '.{h}') THEN '{p}'" for p, hs in C.HOSTS.items() for h in hs) + " END"
@@ -225,42 +225,35 @@ def normalize_title(spark, sf: str) -> DataFrame:
 
 _CAMEL = "regexp_replace({0}, '([a-z])([A-Z])', '\\1 \\2', 'g')"
 _TOK = "list_filter(string_split_regex(lower(" + _CAMEL + "), '[^0-9a-z]+'), lambda x: x <> '')"
-_LABELS = "(VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(C.LABELS)) + ") AS t(ord, label, display)"
 
 
-@query("label_tokens", f"SELECT label, array_to_string({_TOK.format('display')}, ' ') AS tokens FROM {_LABELS}")
+@query("label_tokens", f"SELECT p_partkey, array_to_string({_TOK.format('n')}, ' ') AS tokens FROM (SELECT p_partkey, concat(name, 'Of', p_type) AS n FROM ({duck(NAMES)}))")
 def label_tokens(spark, sf: str) -> DataFrame:
-    return C.label_table(spark).select("label", F.array_join(X.label_tokens(F.col("display")), " ").alias("tokens"))
+    return derive(spark, sf, NAMES).select("p_partkey", F.array_join(X.label_tokens(F.concat("name", F.lit("Of"), "p_type")), " ").alias("tokens"))
 
 
-_SIDE = f"SELECT label, {_TOK.format('label')} AS ta FROM {_LABELS}"
-_MODEL = f"SELECT display, {_TOK.format('display')} AS tb FROM {_LABELS}"
+_SIDE = f"SELECT p_partkey, {_TOK.format('name')} AS ta FROM ({duck(NAMES)})"
+_MODEL = f"SELECT label, {_TOK.format('label')} AS tb FROM {LABEL_ROWS}"
 
 
-@query("same_label_join", f"WITH a AS ({_SIDE}), b AS ({_MODEL}), c AS (SELECT *, array_to_string(ta, '') AS na, array_to_string(tb, '') AS nb FROM a CROSS JOIN b) SELECT label, display FROM c WHERE na <> '' AND nb <> '' AND (na = nb OR list_has_all(tb, ta) OR list_has_all(ta, tb) OR (least(length(na), length(nb)) >= 4 AND (starts_with(na, nb) OR starts_with(nb, na))))")
+@query("same_label_join", f"WITH a AS ({_SIDE}), b AS ({_MODEL}), c AS (SELECT *, array_to_string(ta, '') AS na, array_to_string(tb, '') AS nb FROM a CROSS JOIN b) SELECT p_partkey, label FROM c WHERE na <> '' AND nb <> '' AND (na = nb OR list_has_all(tb, ta) OR list_has_all(ta, tb) OR (least(length(na), length(nb)) >= 4 AND (starts_with(na, nb) OR starts_with(nb, na))))")
 def same_label_join(spark, sf: str) -> DataFrame:
-    """27 fixed labels on either side: the one place where every pair is looked at."""
-    t = C.label_table(spark)
-    pairs = t.select("label").crossJoin(F.broadcast(t.select("display")))
-    return pairs.filter(X.same_label(F.col("label"), F.col("display")))
+    """A name against each of the 27 fixed labels."""
+    labels = F.explode(F.array(*[F.lit(a) for a, _ in C.LABELS])).alias("label")
+    return derive(spark, sf, NAMES).select("p_partkey", "name", labels).filter(X.same_label(F.col("name"), F.col("label"))).select("p_partkey", "label")
 
 
-_REASONS = "(VALUES " + ", ".join(f"('{o}', {repr(C.REJECT_GROUP.get(o)) if o in C.REJECT_GROUP else 'NULL'})" for o in C.STATUS) + ") AS t(outcome, grp)"
-
-
-@query("action_precedence", f"SELECT outcome, CASE WHEN outcome = 'portrait' THEN 'delete' WHEN grp = 'dedup' THEN 'delete' WHEN outcome = 'dup_l1' THEN 'keep' ELSE 'move' END AS action FROM {_REASONS}")
+@query("action_precedence", f"SELECT event_id, outcome, CASE WHEN outcome = 'portrait' THEN 'delete' WHEN grp = 'dedup' THEN 'delete' WHEN outcome = 'dup_l1' THEN 'keep' ELSE 'move' END AS action FROM ({duck(OUTCOMES)})")
 def action_precedence(spark, sf: str) -> DataFrame:
-    rows = spark.createDataFrame([(o, C.REJECT_GROUP.get(o)) for o in C.STATUS], "outcome string, grp string")
     rules = F.create_map(*[F.lit(x) for x in ("*", "move", "portrait", "delete", "dedup", "delete", "dup_l1", "keep")])
-    return rows.select("outcome", scheduling.action_for(F.col("outcome"), F.col("grp"), rules, "move").alias("action"))
+    return derive(spark, sf, OUTCOMES).select("event_id", "outcome", scheduling.action_for(F.col("outcome"), F.col("grp"), rules, "move").alias("action"))
 
 
-@query("filter_overlay", "SELECT p, CASE WHEN p = 'reddit' THEN true ELSE false END AS videomae, CASE WHEN p = 'reddit' THEN 'platform' ELSE 'all' END AS source FROM (VALUES " + ", ".join(f"('{p}')" for p in C.HOSTS) + ") AS t(p)")
+@query("filter_overlay", f"SELECT event_id, p, CASE WHEN value > 40 THEN event_type = 'view' WHEN p = 'reddit' THEN true WHEN event_type = 'click' THEN false ELSE true END AS videomae, CASE WHEN value > 40 THEN 'form' WHEN p = 'reddit' THEN 'platform' WHEN event_type = 'click' THEN 'all' ELSE 'default' END AS source FROM ({duck(PLATFORMS)})")
 def filter_overlay(spark, sf: str) -> DataFrame:
-    rows = spark.createDataFrame([(p,) for p in C.HOSTS], "p string")
-    everywhere, own, form = F.lit(False), F.when(F.col("p") == "reddit", True), F.lit(None).cast("boolean")
+    everywhere, own, form = F.when(F.col("event_type") == "click", False), F.when(F.col("p") == "reddit", True), F.when(F.col("value") > 40, F.col("event_type") == "view")
     source = scheduling.overlay(F.lit("default"), F.when(everywhere.isNotNull(), "all"), F.when(own.isNotNull(), "platform"), F.when(form.isNotNull(), "form"))
-    return rows.select("p", scheduling.overlay(F.lit(True), everywhere, own, form).alias("videomae"), source.alias("source"))
+    return derive(spark, sf, PLATFORMS).select("event_id", "p", scheduling.overlay(F.lit(True), everywhere, own, form).alias("videomae"), source.alias("source"))
 
 
 @query("fingerprint_backfill_anti", f"WITH v AS ({duck(VIDEOS)}) SELECT id FROM v WHERE id NOT IN (SELECT id FROM v WHERE id % 3 = 0)")
