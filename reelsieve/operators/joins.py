@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelsieve.functions.hashing import hamming, mean_distance
+from reelsieve.operators.spread import HOT_PARTS, cut, join_spread
 
 
 def first_match(new: DataFrame, store: DataFrame, keys: list[str], id_col: str = "id", value: str = "url", out: str = "match") -> DataFrame:
@@ -75,6 +76,18 @@ def hamming_join(a: DataFrame, b: DataFrame, x: str, y: str, radius: int, also:
     return met.filter(F.col("no") == first).drop("no", "bits")
 
 
+def hamming_links(rows: DataFrame, id_col: str, h: str, radius: int) -> DataFrame:
+    """Edges (u, v) of ids whose components are those of all pairs with at most radius differing bits. Equal hashes (black
+    frames, title cards) are one node: each of their rows gets an edge to the least id, and only distinct hashes meet."""
+    known = cut(rows.filter(F.col(h).isNotNull()).groupBy(F.col(h).alias("h")).agg(F.min(id_col).alias("low"), F.count(F.lit(1)).alias("n")))
+    total = known.agg(F.sum("n")).first()[0] or 0
+    hot = known.filter(F.col("n") > total / HOT_PARTS).select("h", "low")
+    copies = join_spread(rows.select(F.col(id_col).alias("id"), F.col(h).alias("h")).filter("h IS NOT NULL"), known.select("h", "low"), ["h"], hot, [F.col("id")])
+    side = lambda n: known.select(F.col("low").alias(f"{n}_id"), F.col("h").alias(n))
+    near = hamming_join(side("x"), side("y"), "x", "y", radius).filter("x_id < y_id").select(F.col("x_id").alias("u"), F.col("y_id").alias("v"))
+    return copies.filter("id <> low").select(F.col("id").alias("u"), F.col("low").alias("v")).unionByName(near)
+
+
 def fingerprint_join(a: DataFrame, b: DataFrame, below: int, share: float) -> DataFrame:
     """new_id, old_id, mean: pairs of a and b (id, dur, fp: an array of hashes by place) with durations in the share and a mean
     distance of the frames that both have of less than ``below``. Then a frame is within below - 1 of the other's at its

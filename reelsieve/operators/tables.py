@@ -12,9 +12,11 @@ def insert_absent(store: DataFrame, new: DataFrame, key: str, order: str) -> Dat
     return first.join(store.select(key).distinct(), key, "left_anti")
 
 
-def overwrite_matched(store: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """store with the columns taken from changes where a key matches, nulls included."""
-    side = changes.select(key, F.struct(*columns).alias("_c"))
+def overwrite_matched(store: DataFrame, changes: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
+    """store with the columns taken from changes where a key matches, nulls included. Of a key's changes the last one by
+    ``order`` counts; of equal ones, and without an order, the greatest."""
+    new = F.struct(*columns)
+    side = changes.groupBy(key).agg(F.max(F.struct(F.col(order).alias("_o") if order else F.lit(0).alias("_o"), new.alias("_c")))["_c"].alias("_c"))
     joined = store.join(side, key, "left")
     return joined.select(*[F.when(F.col("_c").isNotNull(), F.col(f"_c.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in store.columns])
 

@@ -159,9 +159,19 @@ def clock_consistency(spark, sf: str) -> DataFrame:
     return segments.clock_consistent(reads, "video")
 
 
-@query("priority_overlap")
+_CLASSES = ("Helmet", "Head", "Hat", "goods carried on a motorbike", "person")
+_RANK = "CASE b.class_name " + " ".join(f"WHEN '{c}' THEN {C.CLASS_PRIORITY.get(c, 0)}" for c in _CLASSES) + " END"
+
+
+# boxes in order of confidence; a box that overlaps a kept one replaces the first such one only if its class ranks higher
+@query("priority_overlap", f"""WITH RECURSIVE x AS (SELECT *, [{', '.join(repr(c) for c in _CLASSES)}][cls + 1] AS class_name FROM ({duck(BOXES)})), y AS (SELECT b.*, {_RANK} AS rank FROM x b), o AS (SELECT image, max(no) AS last FROM y GROUP BY image),
+h AS (SELECT b.image, b.no AS no, a.no AS other FROM y a JOIN y b ON a.image = b.image AND a.no < b.no WHERE {_RATIO} > 0.5),
+w(image, no, kept) AS (SELECT image, 0, []::INT[] FROM o UNION ALL SELECT image, no, CASE WHEN class_name IS NULL THEN kept WHEN hit IS NULL THEN list_append(kept, no) WHEN rank > (SELECT rank FROM y k WHERE k.image = z.image AND k.no = hit) THEN list_append(list_filter(kept, lambda k: k <> hit), no) ELSE kept END
+ FROM (SELECT w.image, w.no + 1 AS no, w.kept, y.class_name, y.rank, (SELECT arg_min(h.other, list_position(w.kept, h.other)) FROM h WHERE h.image = w.image AND h.no = w.no + 1 AND list_contains(w.kept, h.other)) AS hit
+  FROM w JOIN o ON o.image = w.image AND w.no < o.last LEFT JOIN y ON y.image = w.image AND y.no = w.no + 1) z)
+SELECT y.image, class_name, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y, x2 - x1 AS w, y2 - y1 AS h, 1.0::DOUBLE / (1 + y.no) AS conf FROM (SELECT w.image, unnest(kept) AS no FROM w JOIN o ON o.image = w.image AND w.no = o.last) k JOIN y ON y.image = k.image AND y.no = k.no""")
 def priority_overlap(spark, sf: str) -> DataFrame:
-    names = F.array(*map(F.lit, ["Helmet", "Head", "Hat", "goods carried on a motorbike", "person"]))
+    names = F.array(*map(F.lit, _CLASSES))
     d = derive(spark, sf, BOXES).select("image", F.get(names, F.col("cls")).alias("class_name"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"), (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"), (F.lit(1.0) / (1 + F.col("no"))).alias("conf"))
     return detection.priority_overlap(d, "image", 0.5)
 

@@ -93,9 +93,9 @@ def literal_to_json(text: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def decode_values(rows: DataFrame, col: str, out: str = "decoded") -> DataFrame:
-    """rows with JSON text of values that are JSON or Python literals; JSON stays on the JVM."""
+    """rows with JSON text of values that are JSON or Python literals; JSON stays on the JVM, and only its nulls go to Python."""
     plain = F.when(F.try_parse_json(F.col(col)).isNotNull(), F.col(col))
-    return rows.withColumn(out, F.coalesce(plain, literal_to_json(F.col(col))))
+    return rows.withColumn(out, F.coalesce(plain, literal_to_json(F.when(plain.isNull(), F.col(col)))))
 
 
 def first_non_empty(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -43,7 +43,8 @@ def hours_left(states: DataFrame, now: float) -> DataFrame:
 
 
 def save_state(states: DataFrame, path: str) -> None:
-    """One JSON object in the place of the file, by a rename once it is whole. States are a row for each platform, a few."""
+    """One JSON object in the place of the file, by one rename over it once it is whole: there is always an old or a new state.
+    States are a row for each platform, a few."""
     spark = states.sparkSession
     entry = F.struct("platform", F.struct("current", "labels").alias("value"))
     whole = states.coalesce(1).agg(F.map_from_entries(F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["platform"] < b["platform"], -1).otherwise(1))).alias("m"))
@@ -52,9 +53,9 @@ def save_state(states: DataFrame, path: str) -> None:
     tmp, target = hadoop.Path(f"{path}.tmp"), hadoop.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     (part,) = [f.getPath() for f in fs.listStatus(tmp) if f.getPath().getName().startswith("part-")]
-    kept = hadoop.Path(f"{path}.old")
-    if fs.exists(target):
-        fs.rename(target, kept)
-    fs.rename(part, target)
-    fs.delete(kept, False)
-    fs.delete(tmp, True)
+    kind = getattr(hadoop, "Options$Rename")
+    over = spark._sc._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(part, target, over)  # raises if it can't
+    if not fs.delete(tmp, True):
+        raise OSError(f"cannot delete {tmp}")

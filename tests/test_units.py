@@ -241,3 +241,62 @@ def test_middle_first_and_crops(spark):
     sizes = spark.createDataFrame([("a", 100, 200)], "image string, width int, height int")
     got = detection.crop_boxes(d, sizes, "image", [1], 0.7, (10, 10), (1, 2, 3, 4)).orderBy("no").collect()
     assert [tuple(r) for r in got] == [("a", 0, 37, 79, 64, 122), ("a", 3, 81, 167, 100, 200)]
+
+
+def test_dct_hash_brute_force(spark):
+    import math
+
+    rng = random.Random(14)
+    tiles = [[rng.uniform(0, 255) for _ in range(1024)] for _ in range(6)] + [[float(k % 32 * 8) for k in range(1024)]]
+    rows = [(i, t) for i, t in enumerate(tiles)] + [(90, None), (91, [1.0] * 10)]
+    got = {r.i: r.h for r in spark.createDataFrame(rows, "i int, p array<double>").select("i", H.dct_hash(F.col("p")).alias("h")).collect()}
+    assert got[90] is None and got[91] is None
+    for i, t in enumerate(tiles[:6]):
+        low = [sum(t[32 * y + x] * math.cos(math.pi * (2 * y + 1) * u / 64) * math.cos(math.pi * (2 * x + 1) * v / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+        middle = (sorted(low)[31] + sorted(low)[32]) / 2
+        bits = "".join("1" if x > middle else "0" for x in low)
+        assert got[i] == f"{int(bits, 2):016x}"
+    near = [v + rng.uniform(-2, 2) for v in tiles[0]]
+    h = spark.createDataFrame([(near,)], "p array<double>").select(H.dct_hash(F.col("p"))).first()[0]
+    assert bin(int(h, 16) ^ int(got[0], 16)).count("1") <= 6 < bin(int(got[1], 16) ^ int(got[0], 16)).count("1")
+
+
+def test_cross_validation_measures_what_it_holds_out(spark):
+    from reelsieve.operators import probe
+
+    rng = random.Random(15)
+    rows = [([rng.gauss(4.0 * (i % 2), 1), rng.gauss(0, 1)], i % 2, i // 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "v array<double>, y int, file int")
+    got = {r.metric: (r.mean, r["std"]) for r in probe.cross_validate(df, "v", "y", "file").collect()}
+    assert set(got) == {"accuracy", "precision", "recall"} and all(0.93 <= m <= 1 and s < 0.06 for m, s in got.values())
+    noise = spark.createDataFrame([(v, rng.randrange(2), f) for v, _, f in rows], "v array<double>, y int, file int")
+    assert 0.35 <= {r.metric: r.mean for r in probe.cross_validate(noise, "v", "y", "file").collect()}["accuracy"] <= 0.65
+    folds = probe.group_folds(df, "file", 5)
+    assert folds.groupBy("file").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+
+
+def test_overwrite_by_the_last_change(spark):
+    from reelsieve.operators import tables
+
+    store = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "k int, x string, n int")
+    changes = spark.createDataFrame([(1, "old", 10, 1), (1, None, 11, 2), (2, "z", None, 5), (9, "q", 0, 1)], "k int, x string, n int, at int")
+    got = tables.overwrite_matched(store, changes, "k", ["x", "n"], "at")
+    assert sorted(map(tuple, got.collect())) == [(1, None, 11), (2, "z", None), (3, "c", 3)]
+    assert tables.overwrite_matched(store, changes, "k", ["x"]).count() == 3
+
+
+def test_hamming_links(spark):
+    rng = random.Random(16)
+    seeds = [rng.getrandbits(63) for _ in range(12)]
+    rows = [(i, seeds[0] if i < 60 else rng.choice(seeds) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(5)))) for i in range(150)] + [(900, None)]
+    edges = joins.hamming_links(spark.createDataFrame(rows, "id long, h long"), "id", "h", 3)
+    got = {r.node: r.root for r in graph.components(edges).collect()}
+    root = {i: i for i, _ in rows}
+    for _ in range(len(rows)):
+        for i, a in rows:
+            for j, b in rows:
+                if None not in (a, b) and bin(a ^ b).count("1") <= 3:
+                    root[i] = root[j] = min(root[i], root[j])
+        if all(root[root[i]] == root[i] for i in root):
+            break
+    assert all(got.get(i, i) == root[i] for i in root) and edges.count() < 500
