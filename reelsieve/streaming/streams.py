@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from reelsieve.functions.text import broadcast_key
+from reelsieve.operators.asof import latest_before
+from reelsieve.operators.spread import cut
 from reelsieve.plans.catalog import BACKOFF_HOURS, BACKOFF_MAX_HOURS, STREAK_LIMIT
 
 
@@ -67,10 +69,27 @@ def visit_states(visits: DataFrame) -> DataFrame:
     return visits.groupBy("platform", "label").applyInPandasWithState(update, f"platform string, label string, {VISIT_STATE}", VISIT_STATE, "update", GroupStateTimeout.NoTimeout)
 
 
-def cooled_down(events: DataFrame, key: str, at: str, seconds: float) -> DataFrame:
+def _passing(runs: DataFrame, key: str, at: str, seconds: float) -> DataFrame:
+    """key, at of the events let through in runs (key, run, at), by pointer doubling: each event points to the first one that
+    would be let through after it, and in each round twice as many of a run's are reached."""
+    w = Window.partitionBy(key, "run").orderBy(at)
+    nodes = cut(runs.select(F.to_json(F.struct(key, "run")).alias("s"), key, at, F.row_number().over(w).alias("n")))
+    asked = nodes.select("s", "n", (-(F.col(at) + seconds)).alias("t"))
+    there = nodes.select("s", (-F.col(at)).alias("t"), (-F.col("n")).alias("no"))
+    jump = latest_before(asked, there, "s", "t", "t", "no", 8 * seconds).filter("found IS NOT NULL").select("s", "n", (-F.col("found.no")).alias("m"))
+    jump, reached = cut(jump), nodes.filter("n = 1").select("s", "n")
+    while True:
+        new = cut(reached.join(jump, ["s", "n"]).select("s", F.col("m").alias("n")).join(reached, ["s", "n"], "left_anti"))
+        if new.isEmpty():
+            return nodes.join(reached, ["s", "n"], "left_semi").select(key, at)
+        reached = cut(reached.unionByName(new))
+        jump = cut(jump.join(jump.select("s", F.col("n").alias("m"), F.col("m").alias("far")), ["s", "m"]).select("s", "n", F.col("far").alias("m")))
+
+
+def cooled_down(events: DataFrame, key: str, at: str, seconds: float, fold_rows: int = 100_000) -> DataFrame:
     """Events of a key, as (key, at), that are let through: the first one, and each that comes ``seconds`` or more after the
-    last one let through. For a stream the time is kept by key, for a table it is folded in order; rows come in order of
-    time. A throttle of messages and the pause of a camera after a hit are this."""
+    last one let through. For a stream the time is kept by key, for a table it is folded in order, or in runs of over
+    ``fold_rows`` events without a pause found by pointer doubling; rows come in order of time. A throttle of messages and the pause of a camera after a hit are this."""
 
     def step(rows: pd.DataFrame, last: float | None) -> tuple[list[float], float | None]:
         passed = []
@@ -101,7 +120,13 @@ def cooled_down(events: DataFrame, key: str, at: str, seconds: float) -> DataFra
         passed, _ = step(part, None)
         return pd.DataFrame({key: [k[0]] * len(passed), at: passed})
 
-    return runs.groupBy(key, "run").applyInPandas(fold, schema)
+    sizes = runs.groupBy(key, "run").agg(F.count(at).alias("n"))
+    long = cut(sizes.filter(F.col("n") > fold_rows).select(key, "run"))
+    if long.isEmpty():
+        return runs.groupBy(key, "run").applyInPandas(fold, schema)
+    same = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a.run") == F.col("b.run"))
+    short = runs.alias("a").join(long.alias("b"), same, "left_anti").groupBy(key, "run").applyInPandas(fold, schema)
+    return short.unionByName(_passing(runs.alias("a").join(long.alias("b"), same, "left_semi"), key, at, seconds))
 
 
 def new_broadcasts(batch: DataFrame, known: DataFrame) -> DataFrame:
