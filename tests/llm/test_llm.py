@@ -659,6 +659,33 @@ def test_pipeline_near_copies(spark, sf):
     assert [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(many, "doc_id long, text string"), sf).collect()] == [0]
 
 
+def test_near_copies_in_large_families(spark):
+    """Recall of links alike by 0.8 in families whose bands hold far more texts than are compared with each other."""
+    rng = random.Random(33)
+    texts = []
+    for g, (size, edits) in enumerate([(120, 6), (160, 10), (200, 16)]):
+        body = [f"f{g}w{k}" for k in range(220)]
+        made = [body]
+        for _ in range(size - 1):  # copies of copies
+            t = list(rng.choice(made))
+            for x in rng.sample(range(220), edits):
+                t[x] = f"e{rng.randrange(10**9)}"
+            made.append(t)
+        texts += made
+    sets = [{hash(tuple(t[i : i + 5])) for i in range(len(t) - 4)} for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if (n := len(sets[i] & sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - n)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    group = {r.doc_id: r.component for r in simhash.near_duplicates(df, width=5, similarity=0.8).collect()}
+    held = sum(group[i] == group[j] for i, j in links)
+    print(f"{held} of {len(links)} links")
+    assert len(links) > 300 and held >= 0.99 * len(links)
+    root = list(range(len(texts)))
+    for _ in range(60):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    assert all(root[i] == root[j] for i in range(len(texts)) for j in range(i) if group[i] == group[j])
+
+
 def test_pipeline_stages(spark, docs, sf):
     import corpus_pipeline
 
