@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,3 +55,29 @@ def warnings(runs: DataFrame, touched: DataFrame, live: DataFrame, jobs: DataFra
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def section(rows: DataFrame, no: int, title: str, order: list[Column], most: int = 1000) -> DataFrame:
+    """section, ord, line: an aggregate's rows as a table of a report, under its title. Nulls are a dash, and what would end a cell
+    is escaped. Over ``most`` rows are an error of the running query, not a cut."""
+    cells = [F.replace(F.regexp_replace(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")), r"\s+", " "), F.lit("|"), F.lit("\\|")) for c in rows.columns]
+    ranked = rows.select(F.row_number().over(Window.orderBy(*order)).alias("n"), F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("line"))
+    sound = F.when(F.col("n") > most, F.raise_error(F.lit(f"over {most} rows in {title!r}"))).otherwise(F.col("line"))
+    head = [f"## {title}", "| " + " | ".join(rows.columns) + " |", "|" + "---|" * len(rows.columns)]
+    top = rows.sparkSession.range(1).select(F.posexplode(F.array(*map(F.lit, head))).alias("ord", "line"))
+    body = ranked.select((F.col("n") + len(head) - 1).alias("ord"), sound.alias("line"))
+    return top.unionByName(body).select(F.lit(no).alias("section"), "ord", "line")
+
+
+def report(sections: list[tuple[str, DataFrame, list[Column]]]) -> DataFrame:
+    """section, ord, line of a whole report, in order."""
+    out = None
+    for no, (title, rows, order) in enumerate(sections, 1):
+        part = section(rows, no, title, order)
+        out = part if out is None else out.unionByName(part)
+    return out.orderBy("section", "ord")
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """A report's lines as one text file, in order; they are as many as its tables have rows, a bounded number."""
+    lines.coalesce(1).sortWithinPartitions("section", "ord").select("line").write.mode("overwrite").text(path)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsieve.functions import forms
-from reelsieve.operators import records
+from reelsieve.operators import records, reporting
+from reelsieve.plans import catalog as C
 from reelsieve.plans.base import OUTCOMES, PLATFORMS, derive, duck, query, table
 
 _FIRST = "CASE user_id % 5 WHEN 0 THEN 'portrait' WHEN 1 THEN 'dedup' WHEN 2 THEN '*' WHEN 3 THEN 'nothing' ELSE 'dup_l2' END"
@@ -113,3 +114,21 @@ def profile_order(spark, sf: str) -> DataFrame:
     last = F.when(F.col("user_id") % 4 == 0, "b").when(F.col("user_id") % 4 == 1, "c").when(F.col("user_id") % 4 == 2, "gone")
     order = F.array_join(forms.preferred_first(F.array(F.lit("a"), F.lit("b"), F.lit("c")), last), ",")
     return table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).select("user_id", order.alias("profiles"), "n")
+
+
+_STATUSES = " ".join(f"WHEN '{o}' THEN '{s}'" for o, s in C.STATUS.items())
+
+
+@query("crawl_report", f"""WITH o AS (SELECT *, CASE outcome {_STATUSES} END AS status FROM ({duck(OUTCOMES)})), p AS (SELECT * FROM ({duck(PLATFORMS)})),
+a AS (SELECT status, count(*) AS n FROM o GROUP BY status), b AS (SELECT p, count(*) AS n, count(*) FILTER (event_type = 'error') AS failed FROM p GROUP BY p),
+c AS (SELECT coalesce(grp, 'none') AS reason, count(*) AS n FROM o WHERE outcome <> 'downloaded' GROUP BY 1)
+SELECT 1 AS section, k AS ord, line FROM (VALUES (0, '## Status'), (1, '| status | n |'), (2, '|---|---|')) t(k, line) UNION ALL SELECT 1, CAST(2 + row_number() OVER (ORDER BY n DESC, status) AS INT), '| ' || status || ' | ' || n || ' |' FROM a
+UNION ALL SELECT 2, k, line FROM (VALUES (0, '## Platforms'), (1, '| p | n | failed |'), (2, '|---|---|---|')) t(k, line) UNION ALL SELECT 2, CAST(2 + row_number() OVER (ORDER BY n DESC, p) AS INT), '| ' || p || ' | ' || n || ' | ' || failed || ' |' FROM b
+UNION ALL SELECT 3, k, line FROM (VALUES (0, '## Rejected'), (1, '| reason | n |'), (2, '|---|---|')) t(k, line) UNION ALL SELECT 3, CAST(2 + row_number() OVER (ORDER BY reason) AS INT), '| ' || reason || ' | ' || n || ' |' FROM c""")
+def crawl_report(spark, sf: str) -> DataFrame:
+    outcomes, platforms = derive(spark, sf, OUTCOMES), derive(spark, sf, PLATFORMS)
+    statuses = F.create_map(*[F.lit(x) for kv in C.STATUS.items() for x in kv])
+    by_status = outcomes.groupBy(F.try_element_at(statuses, "outcome").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    by_platform = platforms.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    rejected = outcomes.filter("outcome <> 'downloaded'").groupBy(F.coalesce("grp", F.lit("none")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return reporting.report([("Status", by_status, [F.desc("n"), F.col("status")]), ("Platforms", by_platform, [F.desc("n"), F.col("p")]), ("Rejected", rejected, [F.col("reason")])])

@@ -92,6 +92,13 @@ def page_scan(spark, sf: str) -> DataFrame:
     return spark.read.schema(pages.schema).parquet(f"{base}/table")
 
 
+@query("listing_scan", "SELECT event_id // 100 AS page, event_id, event_type, value FROM events WHERE event_id < 850 AND value <= 50")
+def listing_scan(spark, sf: str) -> DataFrame:
+    """The first entries of a stored listing, a page a task, the short ones only."""
+    listed = paged.paged_listing(spark, path=f"{sf}/events.parquet", key="event_id", same="event_id", columns="event_id long, event_type string, value double", limit="850", tail="true")
+    return listed.filter("value <= 50")
+
+
 @query("staged_write", "SELECT page_id, url, length(html) AS chars FROM pages")
 def staged_write(spark, sf: str) -> DataFrame:
     """Two writes, even and odd pages, published one after the other."""

@@ -1,7 +1,7 @@
-"""What the engine asks of outside programs (network, codecs, models), and stand-ins that read fixture rows.
+"""What the engine asks of outside programs (network, codecs, models).
 
-A listing is a Python data source: a page of a platform's results is a partition, and a duration limit is applied at the
-source. Media measurements are rows that a probe delivers; everything after them is column expressions.
+Media measurements are rows that a probe delivers; everything after them is column expressions. Listings are read from
+stored pages (``paged``).
 """
 
 from __future__ import annotations
@@ -10,44 +10,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-
-class ListingReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(int(self.options.get("pages", "1")))]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        size, platform = int(self.options.get("page_size", "100")), self.options.get("platform", "fixture")
-        most, limit = float(self.options.get("max_duration", "1e18")), int(self.options.get("limit", str(1 << 60)))
-        for i in range(partition.value * size, min((partition.value + 1) * size, limit)):
-            duration = float(30 + 17 * (i % 120))
-            if duration <= most:
-                yield platform, f"https://{platform}.test/video/{i}", f"title {i}", duration, i
-
-
-class ListingSource(DataSource):
-    """Search results of a platform; options platform, pages, page_size, max_duration, limit. A real one overrides
-    ``read`` with requests for its page."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "listing"
-
-    def schema(self) -> str:
-        return "platform string, url string, title string, duration double, position long"
-
-    def reader(self, schema) -> DataSourceReader:
-        return ListingReader(dict(self.options))
-
-
-def listing(spark: SparkSession, **options: str) -> DataFrame:
-    spark.dataSource.register(ListingSource)
-    return spark.read.format("listing").options(**options).load()
+from pyspark.sql import DataFrame
 
 
 def measure(rows: DataFrame, adapter: Callable[[dict], dict], schema: str, error: str = "error") -> DataFrame:

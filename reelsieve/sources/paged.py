@@ -3,16 +3,19 @@
 The store is a Parquet folder whose key counts the entries; a page is ``size`` keys. Offsets are page numbers, so the
 progress that Spark keeps is a number of whole pages: a scan that is stopped, or times out, keeps what it has, and the next
 one goes on behind it. A page with the same entries as the one before it (a site that has no more pages repeats its last
-one) gives nothing.
+one) gives nothing. A limit ends the listing after so many entries. Read as a table, comparisons of a column with a value
+are answered by the files' reader.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, LessThan, LessThanOrEqual
+
+_SIGNS = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "ge", LessThan: "lt", LessThanOrEqual: "le"}
 
 
 class Page(InputPartition):
@@ -24,10 +27,12 @@ class _Pages:
     def __init__(self, options: dict, names: list[str]):
         self.path, self.key, self.same = options["path"], options["key"], options["same"]
         self.size, self.tail = int(options.get("size", "100")), options.get("tail", "false").lower() == "true"
+        self.limit = int(options["limit"]) if "limit" in options else None
         self.names = names
+        self.where: list[tuple] = []
 
     def count(self) -> int:
-        """Pages in the store, from the files' statistics alone; one that may still grow counts with tail."""
+        """Pages up to the limit in the store, from the files' statistics alone; one that may still grow counts with tail."""
         import pyarrow.dataset as ds
 
         highest = -1
@@ -35,24 +40,40 @@ class _Pages:
             for group in fragment.row_groups:
                 if (seen := (group.statistics or {}).get(self.key)) and seen["max"] is not None:
                     highest = max(highest, seen["max"])
-        return (highest + 1) // self.size + (self.tail and (highest + 1) % self.size > 0)
+        there = (highest + 1) // self.size + (self.tail and (highest + 1) % self.size > 0)
+        return there if self.limit is None else min(there, -(-self.limit // self.size))
+
+    def entries(self, no: int, names: list[str], where: list[tuple] = ()) -> pa.Table:
+        import operator
 
-    def entries(self, no: int, names: list[str]) -> pa.Table:
         import pyarrow.dataset as ds
 
-        key = ds.field(self.key)
-        wanted = ds.dataset(self.path, format="parquet").to_table(columns=list(dict.fromkeys([self.key, *names])), filter=(key >= no * self.size) & (key < (no + 1) * self.size))
-        return wanted.sort_by(self.key)
+        key, end = ds.field(self.key), (no + 1) * self.size
+        kept = (key >= no * self.size) & (key < (end if self.limit is None else min(end, self.limit)))
+        for column, sign, value in where:
+            kept = kept & (ds.field(column).is_valid() if sign == "is_valid" else getattr(operator, sign)(ds.field(column), value))
+        return ds.dataset(self.path, format="parquet").to_table(columns=list(dict.fromkeys([self.key, *names])), filter=kept).sort_by(self.key)
 
     def read(self, page: Page) -> Iterator[pa.RecordBatch]:
-        rows = self.entries(page.no, [*self.names, self.same])
-        if page.no and rows.num_rows and rows[self.same].to_pylist() == self.entries(page.no - 1, [self.same])[self.same].to_pylist():
+        here, before = (self.entries(n, [self.same])[self.same].to_pylist() if n >= 0 else None for n in (page.no, page.no - 1))
+        if here == before:
             return
+        rows = self.entries(page.no, self.names, self.where)
         table = pa.table([pa.array([page.no] * rows.num_rows, pa.int64()), *(rows[c] for c in self.names)], names=["page", *self.names])
         yield from table.to_batches()
 
 
 class _BatchReader(_Pages, DataSourceReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            column = f.attribute[0] if isinstance(f, (IsNotNull, *_SIGNS)) and len(f.attribute) == 1 else "page"
+            if column != "page" and isinstance(f, IsNotNull):
+                self.where.append((column, "is_valid", None))
+            elif column != "page" and isinstance(f.value, (int, float, str)):
+                self.where.append((column, _SIGNS[type(f)], f.value))
+            else:
+                yield f
+
     def partitions(self) -> list[Page]:
         return [Page(n) for n in range(self.count())]
 
@@ -73,7 +94,7 @@ class _StreamReader(_Pages, DataSourceStreamReader):
 
 class PagedListing(DataSource):
     """Options: path, key (a column that counts entries from 0), same (the column that tells a repeated page), columns (name
-    and type of what to read), size (100), tail (also the last page if it isn't full)."""
+    and type of what to read), size (100), tail (also the last page if it isn't full), limit (entries; none)."""
 
     @classmethod
     def name(cls) -> str:
@@ -93,5 +114,6 @@ class PagedListing(DataSource):
 
 
 def paged_listing(spark: SparkSession, stream: bool = False, **options: str) -> DataFrame:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedListing)
     return (spark.readStream if stream else spark.read).format("paged_listing").options(**options).load()

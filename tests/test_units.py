@@ -10,7 +10,7 @@ from reelsieve.functions import identity as I
 from reelsieve.functions import media as M
 from reelsieve.functions import text as X
 from reelsieve.operators import detection, graph, joins, scheduling, segments
-from reelsieve.sources import adapters, readers, sinks
+from reelsieve.sources import adapters, paged, readers, sinks
 from reelsieve.streaming import streams
 
 URLS = [
@@ -151,8 +151,11 @@ def test_sources(spark, tmp_path):
     assert sorted(r.line for r in readers.read_lines(spark, str(tmp_path / "cams.txt")).collect()) == ["rtsp://a", "rtsp://b"]
     values = spark.createDataFrame([('{"a": 1}',), ("{'a': 1}",), ("garbage(",)], "v string")
     assert [r.decoded for r in readers.decode_values(values, "v").collect()] == ['{"a": 1}', '{"a": 1}', None]
-    page = adapters.listing(spark, platform="p", pages="3", page_size="10", max_duration="100")
-    assert page.count() == 5 and page.filter("duration > 100").count() == 0
+    spark.range(25).select(F.col("id").alias("position"), (F.lit(30.0) + 17 * F.col("id")).alias("duration")).write.parquet(f"{tmp_path}/listing")
+    stored = paged.paged_listing(spark, path=f"{tmp_path}/listing", key="position", same="position", columns="position long, duration double", size="10", limit="15")
+    assert stored.rdd.getNumPartitions() == 2 and stored.count() == 15
+    page = stored.filter("duration <= 100 AND page < 9")
+    assert page.count() == 5 and "duration" not in page._jdf.queryExecution().executedPlan().toString().split("Filter")[1].split("\n")[0]
     measured = adapters.measure(page.select("position"), lambda r: {"half": 10 // (r["position"] - 1)}, "half long").orderBy("position").collect()
     assert measured[1].half is None and "ZeroDivisionError" in measured[1].error and measured[2].half == 10
     with pytest.raises(ValueError):
