@@ -199,8 +199,9 @@ def _attach(ordered: DataFrame, paths: DataFrame, fan: int) -> DataFrame:
 
 
 def manifest(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text"), group_col: str = "lang", id_col: str = "doc_id", keep: tuple[str, ...] = ("doc_id", "lang"), fan: int = 8, rows_per_part: int = 100_000) -> DataFrame:
-    """The columns in keep, leaf, subroot (its group's), root, proof: for each level up to the root the node's place in its run
-    (``at``) and the run's other digests, one after another (``others``)."""
+    """The columns in keep (but for those named like new ones), leaf, subroot (its group's), root, proof: for each level up to the
+    root the node's place in its run (``at``) and the run's other digests, one after another (``others``)."""
+    keep = tuple(c for c in keep if c.lower() not in ("leaf", "subroot", "root", "proof"))
     kept = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in keep])
     # a null group is '', before all others
     group = F.coalesce(F.concat(F.lit("="), F.col(f"`{group_col}`").cast("string")), F.lit(""))

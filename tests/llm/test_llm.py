@@ -663,7 +663,7 @@ def test_near_copies_in_large_families(spark):
     """Recall of links alike by 0.8 in families whose bands hold far more texts than are compared with each other."""
     rng = random.Random(33)
     texts = []
-    for g, (size, edits) in enumerate([(120, 6), (160, 10), (200, 16)]):
+    for g, (size, edits) in enumerate([(120, 1), (160, 2), (200, 3)]):
         body = [f"f{g}w{k}" for k in range(220)]
         made = [body]
         for _ in range(size - 1):  # copies of copies

@@ -60,7 +60,7 @@ def corpus():
 def test_manifest(spark, fan, per_part):
     rows = corpus()
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], DOCS + ", LEAF string, root int").repartition(5)
-    got = merkle.manifest(df, fan=fan, rows_per_part=per_part)
+    got = merkle.manifest(df, keep=("doc_id", "lang", "LEAF", "root"), fan=fan, rows_per_part=per_part)
     assert got.columns == ["doc_id", "lang", "leaf", "subroot", "root", "proof"]
     checked = got.select("*", merkle.fold(F.col("leaf"), F.col("proof")).alias("up"), merkle.proof_digest(F.col("proof")).alias("said")).collect()
     assert sorted((repr(r.doc_id), r.leaf, r.subroot, r.root, repr([(s.at, s.others) for s in r.proof])) for r in checked) == plain(rows, fan)
