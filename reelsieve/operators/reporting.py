@@ -22,12 +22,13 @@ def run_states(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     return jobs.select("dag_id").distinct().join(per_job, "dag_id", "left").na.fill(0, ["runs"])
 
 
-def warnings(runs: DataFrame, touched: DataFrame, live: DataFrame, jobs: DataFrame, expected: DataFrame, outcomes: DataFrame, empty_labels: DataFrame, window_seconds: float, alive: bool = True) -> DataFrame:
+def warnings(runs: DataFrame, touched: DataFrame, live: DataFrame, jobs: DataFrame, expected: DataFrame, outcomes: DataFrame, empty_labels: DataFrame, window_seconds: float, alive: bool = True, idle_below: float = 0.5) -> DataFrame:
     """code, subject, n: what a report warns of.
 
     runs (dag_id, state, duration); touched (dag_id, label); live: task instances (dag_id, state) that hold a slot; jobs
     (dag_id, is_paused); expected (dag_id, continuous: a job that holds its slot for hours); outcomes (platform, runs,
-    skipped, seen, downloaded, budget_hit); empty_labels (label). alive: whether the scheduler's process was found."""
+    skipped, seen, downloaded, budget_hit); empty_labels (label). alive: whether the scheduler's process was found.
+    idle_below: the share of the window below which a busy slot counts as idle."""
     one = F.lit(1).cast("long")
     per_job = runs.groupBy("dag_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("state").isin("failed", "up_for_retry"), 1)).alias("bad"))
     labels = touched.groupBy("dag_id").agg(F.countDistinct("label").alias("labels"))
@@ -36,7 +37,7 @@ def warnings(runs: DataFrame, touched: DataFrame, live: DataFrame, jobs: DataFra
     held = live.filter(F.col("state").isin("running", "queued", "restarting")).groupBy("dag_id", F.when(zombie, "zombie").otherwise("holds_slot").alias("code")).agg(F.count(F.lit(1)).alias("n"))
     known = expected.join(jobs, "dag_id", "left")
     busy = runs.agg(F.coalesce(F.sum("duration"), F.lit(0)).alias("busy"))
-    idle = busy.filter(F.lit(window_seconds > 0) & (F.col("busy") / F.lit(float(window_seconds) or 1.0) < 0.5))
+    idle = busy.filter(F.lit(window_seconds > 0) & (F.col("busy") / F.lit(float(window_seconds) or 1.0) < idle_below))
     no_budget = outcomes.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("budget_hit"), F.lit(0)).alias("hits")).filter("k > 0 AND hits = 0")
     empty = empty_labels.agg(F.count(F.lit(1)).alias("n")).filter("n > 0")  # one row beside one row
     parts = [

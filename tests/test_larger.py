@@ -50,3 +50,9 @@ def test_pages_of_one_url(spark, tables):
     """A third of the pages are known, and others have their urls."""
     folder = tables(pages="SELECT page_id + i * 1000001 AS page_id, url, html FROM pages, range(3) r(i)")
     assert len(same_as_sql(spark, folder, "fingerprint_append")) == 100
+
+
+def test_a_busy_slot(spark, tables):
+    """Orders enough for the slot to be busy for over half of the time."""
+    folder = tables(orders="SELECT (o_orderkey + i * 100000) * 3 AS o_orderkey, o_custkey - o_custkey % 600 + 599 AS o_custkey, o_orderstatus, o_totalprice, TIMESTAMP '1997-01-01' AS o_orderdate, o_orderpriority FROM orders, range(700) r(i)")
+    assert any("'idle'" in r for r in same_as_sql(spark, folder, "report_warnings"))
