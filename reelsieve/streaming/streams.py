@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -88,8 +90,8 @@ def _passing(runs: DataFrame, key: str, at: str, seconds: float) -> DataFrame:
 
 def cooled_down(events: DataFrame, key: str, at: str, seconds: float, fold_rows: int = 100_000) -> DataFrame:
     """Events of a key, as (key, at), that are let through: the first one, and each that comes ``seconds`` or more after the
-    last one let through. For a stream the time is kept by key, for a table it is folded in order, or in runs of over
-    ``fold_rows`` events without a pause found by pointer doubling; rows come in order of time. A throttle of messages and the pause of a camera after a hit are this."""
+    last one let through. For a stream the time is kept by key, for a table it is folded in order, a
+    key with over ``fold_rows`` events by its runs without a pause, and a run of over so many found by pointer doubling; rows come in order of time. A throttle of messages and the pause of a camera after a hit are this."""
 
     def step(rows: pd.DataFrame, last: float | None) -> tuple[list[float], float | None]:
         passed = []
@@ -110,23 +112,38 @@ def cooled_down(events: DataFrame, key: str, at: str, seconds: float, fold_rows:
 
     if rows.isStreaming:
         return rows.groupBy(key).applyInPandasWithState(update, schema, "last double", "append", GroupStateTimeout.NoTimeout)
-    # after a pause of that length the next event is let through whatever came before: a key's runs between such pauses are
-    # folded on their own
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = batch.column(1).value_lengths().to_numpy(zero_copy_only=False).cumsum().tolist()
+            times = batch.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+            owner, passed, i = [], [], 0
+            for no, end in enumerate(ends):
+                while i < end:
+                    owner.append(no)
+                    passed.append(times[i])
+                    i = bisect_left(times, times[i] + seconds, i + 1, end)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(passed, pa.float64())], [key, at])
+
+    def folded(part: DataFrame, by: list[str]) -> DataFrame:
+        """Each group is one row, its times in order: many small groups are folded in one batch."""
+        return part.groupBy(*by).agg(F.sort_array(F.collect_list(at)).alias("ts")).select(key, "ts").mapInArrow(fold, schema)
+
+    many = cut(rows.groupBy(key).agg(F.count(at).alias("n")).filter(F.col("n") > fold_rows).select(key))
+    if many.isEmpty():
+        return folded(rows, [key])
+    mine = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+    few = folded(rows.alias("a").join(many.alias("b"), mine, "left_anti"), [key])
+    # after a pause of that length the next event is let through whatever came before: the runs of a key with many events
+    # between such pauses are folded on their own
     w = Window.partitionBy(key).orderBy(at)
     fresh = F.coalesce(F.col(at) - F.lag(at).over(w) >= seconds, F.lit(True)).cast("long")
-    runs = rows.withColumn("run", F.sum(fresh).over(w))
-
-    def fold(k: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        passed, _ = step(part, None)
-        return pd.DataFrame({key: [k[0]] * len(passed), at: passed})
-
-    sizes = runs.groupBy(key, "run").agg(F.count(at).alias("n"))
-    long = cut(sizes.filter(F.col("n") > fold_rows).select(key, "run"))
+    runs = cut(rows.alias("a").join(many.alias("b"), mine, "left_semi").filter(F.col(at).isNotNull()).withColumn("run", F.sum(fresh).over(w)))
+    long = cut(runs.groupBy(key, "run").agg(F.count(at).alias("n")).filter(F.col("n") > fold_rows).select(key, "run"))
+    same = mine & (F.col("a.run") == F.col("b.run"))
+    short = folded(runs.alias("a").join(long.alias("b"), same, "left_anti"), [key, "run"])
     if long.isEmpty():
-        return runs.groupBy(key, "run").applyInPandas(fold, schema)
-    same = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a.run") == F.col("b.run"))
-    short = runs.alias("a").join(long.alias("b"), same, "left_anti").groupBy(key, "run").applyInPandas(fold, schema)
-    return short.unionByName(_passing(runs.alias("a").join(long.alias("b"), same, "left_semi"), key, at, seconds))
+        return few.unionByName(short)
+    return few.unionByName(short).unionByName(_passing(runs.alias("a").join(long.alias("b"), same, "left_semi"), key, at, seconds))
 
 
 def new_broadcasts(batch: DataFrame, known: DataFrame) -> DataFrame:

@@ -56,3 +56,16 @@ def test_a_busy_slot(spark, tables):
     """Orders enough for the slot to be busy for over half of the time."""
     folder = tables(orders="SELECT (o_orderkey + i * 100000) * 3 AS o_orderkey, o_custkey - o_custkey % 600 + 599 AS o_custkey, o_orderstatus, o_totalprice, TIMESTAMP '1997-01-01' AS o_orderdate, o_orderpriority FROM orders, range(700) r(i)")
     assert any("'idle'" in r for r in same_as_sql(spark, folder, "report_warnings"))
+
+
+PARTS = "SELECT p_partkey + i * 1000001 AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part, range(3) r(i)"
+
+
+def test_small_groups_of_a_throttle_are_folded_together(spark):
+    from reelsieve.streaming import streams
+
+    df = spark.createDataFrame([(k, float(t)) for k in range(300) for t in (0, 3, 5, 5, 9, 20)] + [(None, 1.0), (None, 2.0)], "k int, at double")
+    out = streams.cooled_down(df, "k", "at", 5.0)
+    got = sorted((-1 if r.k is None else r.k, r.at) for r in out.collect())
+    assert got == [(-1, 1.0)] + [(k, t) for k in range(300) for t in (0.0, 5.0, 20.0)]
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().optimizedPlan().toString()
