@@ -35,39 +35,79 @@ def overlapping_pairs(boxes: DataFrame, image: str, key: str, threshold: float)
     return a.join(b, image).filter("a < b").select(image, "a", "b", _overlap(F.col("p"), F.col("q")).alias("iou")).filter(F.col("iou") > threshold)
 
 
+def _settled(owner, rank, conf, x, y, w, h, threshold: float, large: int = 256):
+    """Which boxes stay, of boxes of ascending owners in the order of their scan. Pairs of an owner's boxes are compared
+    all at once, unless there are over ``large``: then each box is compared with those kept so far."""
+    import numpy as np
+
+    def over(i, j):
+        wide = np.minimum(x[i] + w[i] / 2, x[j] + w[j] / 2) - np.maximum(x[i] - w[i] / 2, x[j] - w[j] / 2)
+        high = np.minimum(y[i] + h[i] / 2, y[j] + h[j] / 2) - np.maximum(y[i] - h[i] / 2, y[j] - h[j] / 2)
+        both = np.maximum(0.0, wide) * np.maximum(0.0, high)
+        union = w[i] * h[i] + w[j] * h[j] - both
+        return (union > 0) & (both / np.where(union > 0, union, 1.0) > threshold)
+
+    def loses(new: int, old: int) -> bool:
+        return rank[new] < rank[old] or (rank[new] == rank[old] and conf[new] <= conf[old])
+
+    n = len(owner)
+    stays = np.ones(n, bool)
+    begins = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if n else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(begins, n))
+    left = np.arange(n)[np.repeat(sizes <= large, sizes)]
+    earlier, later, d = [], [], 0
+    while len(left):
+        d += 1
+        left = left[left + d < n]
+        left = left[owner[left] == owner[left + d]]
+        hit = left[over(left, left + d)]
+        earlier.append(hit)
+        later.append(hit + d)
+    if earlier:
+        i, j = np.concatenate(earlier), np.concatenate(later)
+        order, done = np.lexsort((i, j)), -1
+        for new, old in zip(j[order].tolist(), i[order].tolist()):
+            if new != done and stays[old]:  # the first kept one that it overlaps
+                done = new
+                stays[new if loses(new, old) else old] = False
+    for begin, size in zip(begins[sizes > large].tolist(), sizes[sizes > large].tolist()):
+        for new in range(begin + 1, begin + size):
+            kept = begin + np.flatnonzero(stays[begin:new])
+            hit = kept[over(kept, new)]
+            if len(hit):
+                stays[new if loses(new, hit[0]) else hit[0]] = False
+    return stays
+
+
 def priority_overlap(detections: DataFrame, image: str, threshold: float) -> DataFrame:
     """Detections (image, class_name, x, y, w, h, conf) after overlaps are settled by class priority: scanned by falling
-    confidence (ties in the order of class name and place), one that overlaps a kept one replaces it if its class ranks
-    higher, or equal with more confidence. Order matters, so each image's few boxes are scanned in Python."""
+    confidence (ties in the order of class name, place and size), one that overlaps a kept one replaces it if its class ranks
+    higher, or equal with more confidence. Order matters, so an image's boxes meet in one row, and the few that overlap are
+    settled one after the other."""
     kind = dict(detections.dtypes)[image]
     box = "class_name string, x double, y double, w double, h double, conf double"
 
-    def settle(rows: list[dict]) -> list[dict]:
-        kept: list[dict] = []
-        for r in sorted(rows, key=lambda r: (-r["conf"], r["class_name"], r["x"], r["y"])):
-            hit = None
-            for k in kept:
-                wide = min(r["x"] + r["w"] / 2, k["x"] + k["w"] / 2) - max(r["x"] - r["w"] / 2, k["x"] - k["w"] / 2)
-                high = min(r["y"] + r["h"] / 2, k["y"] + k["h"] / 2) - max(r["y"] - r["h"] / 2, k["y"] - k["h"] / 2)
-                both = max(0.0, wide) * max(0.0, high)
-                union = r["w"] * r["h"] + k["w"] * k["h"] - both
-                if union > 0 and both / union > threshold:
-                    hit = k
-                    break
-            if hit is not None:
-                mine, theirs = (CLASS_PRIORITY.get(x["class_name"], 0) for x in (r, hit))
-                if mine < theirs or mine == theirs and r["conf"] <= hit["conf"]:
-                    continue
-                kept = [k for k in kept if k is not hit]
-            kept.append(r)
-        return kept
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([settle(b) for b in batch.column(1).to_pylist()], batch.schema.field(1).type)], batch.schema.names)
+            groups = batch.column(1)
+            boxes = groups.flatten()
+            owner = np.repeat(np.arange(len(groups)), groups.value_lengths().to_numpy(zero_copy_only=False))
+            names = boxes.field(0).dictionary_encode()
+            codes = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            known = names.dictionary.to_pylist()
+            place = np.append(np.argsort(np.argsort(np.array(known, object))), -1)[codes]
+            rank = np.array([CLASS_PRIORITY.get(c, 0) for c in [*known, None]])[codes]
+            x, y, w, h, conf = (boxes.field(i).to_numpy(zero_copy_only=False) for i in range(1, 6))
+            order = np.lexsort((h, w, y, x, place, -conf, owner))
+            stays = _settled(*(v[order] for v in (owner, rank, conf, x, y, w, h)), threshold)
+            at = pa.array(order[stays])
+            rows = boxes.take(at)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner).take(at)), *(rows.field(i) for i in range(6))], [image, *(c.split()[0] for c in box.split(", "))])
 
     groups = detections.groupBy(image).agg(F.collect_list(F.struct(*[c.split()[0] for c in box.split(", ")])).alias("boxes"))
-    return groups.mapInArrow(run, f"{image} {kind}, boxes array<struct<{box.replace(' ', ':').replace(',:', ',')}>>").select(image, F.inline("boxes"))
+    return groups.mapInArrow(run, f"{image} {kind}, {box}")
 
 
 def has_all(present: Column, classes: list[int]) -> Column:

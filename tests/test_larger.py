@@ -61,6 +61,37 @@ def test_a_busy_slot(spark, tables):
 PARTS = "SELECT p_partkey + i * 1000001 AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part, range(3) r(i)"
 
 
+def test_overlaps_of_images_of_any_size(spark):
+    """Against a plain scan, images of over 256 boxes too, which are settled box by box."""
+    import random
+
+    from reelsieve.operators.detection import priority_overlap
+    from reelsieve.plans.catalog import CLASS_PRIORITY
+
+    rng = random.Random(5)
+    names = [*CLASS_PRIORITY, "person"]
+    rows = [(i, rng.choice(names), float(rng.randrange(60)), float(rng.randrange(30)), 8.0 + rng.randrange(4), 8.0 + rng.randrange(4), rng.randrange(20) / 20) for i, n in enumerate([1, 2, 7, 40, 256, 257, 400]) for _ in range(n)]
+
+    def ratio(a, b):
+        wide, high = (max(0.0, min(a[c] + a[s] / 2, b[c] + b[s] / 2) - max(a[c] - a[s] / 2, b[c] - b[s] / 2)) for c, s in ((2, 4), (3, 5)))
+        return wide * high / (a[4] * a[5] + b[4] * b[5] - wide * high)
+
+    want = []
+    for image in {r[0] for r in rows}:
+        kept = []
+        for r in sorted((r for r in rows if r[0] == image), key=lambda r: (-r[6], *r[1:6])):
+            hit = next((k for k in kept if ratio(r, k) > 0.4), None)
+            if hit is not None:
+                mine, theirs = CLASS_PRIORITY.get(r[1], 0), CLASS_PRIORITY.get(hit[1], 0)
+                if mine < theirs or mine == theirs and r[6] <= hit[6]:
+                    continue
+                kept.remove(hit)
+            kept.append(r)
+        want += kept
+    df = spark.createDataFrame(rows, "image int, class_name string, x double, y double, w double, h double, conf double")
+    assert sorted(map(tuple, priority_overlap(df, "image", 0.4).collect())) == sorted(want)
+
+
 def test_small_groups_of_a_throttle_are_folded_together(spark):
     from reelsieve.streaming import streams
 
