@@ -239,8 +239,10 @@ _MODEL = f"SELECT label, {_TOK.format('label')} AS tb FROM {LABEL_ROWS}"
 @query("same_label_join", f"WITH a AS ({_SIDE}), b AS ({_MODEL}), c AS (SELECT *, array_to_string(ta, '') AS na, array_to_string(tb, '') AS nb FROM a CROSS JOIN b) SELECT p_partkey, label FROM c WHERE na <> '' AND nb <> '' AND (na = nb OR list_has_all(tb, ta) OR list_has_all(ta, tb) OR (least(length(na), length(nb)) >= 4 AND (starts_with(na, nb) OR starts_with(nb, na))))")
 def same_label_join(spark, sf: str) -> DataFrame:
     """A name against each of the 27 fixed labels."""
-    labels = F.explode(F.array(*[F.lit(a) for a, _ in C.LABELS])).alias("label")
-    return derive(spark, sf, NAMES).select("p_partkey", "name", labels).filter(X.same_label(F.col("name"), F.col("label"))).select("p_partkey", "label")
+    named = derive(spark, sf, NAMES).select("p_partkey", "name").repartition("p_partkey")  # few bytes are few tasks
+    names = named.select("p_partkey", X.label_tokens(F.col("name")).alias("ta")).withColumn("na", F.array_join("ta", ""))
+    labels = C.label_table(spark).select("label", X.label_tokens(F.col("label")).alias("tb")).withColumn("nb", F.array_join("tb", ""))
+    return names.join(F.broadcast(labels), X.same_tokens(*map(F.col, ("ta", "na", "tb", "nb")))).select("p_partkey", "label")
 
 
 @query("action_precedence", f"SELECT event_id, outcome, CASE WHEN outcome = 'portrait' THEN 'delete' WHEN grp = 'dedup' THEN 'delete' WHEN outcome = 'dup_l1' THEN 'keep' ELSE 'move' END AS action FROM ({duck(OUTCOMES)})")

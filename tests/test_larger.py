@@ -61,6 +61,16 @@ def test_a_busy_slot(spark, tables):
 PARTS = "SELECT p_partkey + i * 1000001 AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part, range(3) r(i)"
 
 
+def test_labels_are_split_once_for_a_name(spark, tables):
+    from reelsieve.plans.identity_queries import same_label_join
+
+    folder = tables(part=PARTS)
+    assert same_as_sql(spark, folder, "same_label_join")
+    plan = same_label_join(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    pairs = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "array_except" in pairs and "(?<=[a-z])" not in pairs and "Generate" not in plan
+
+
 def test_overlaps_of_images_of_any_size(spark):
     """Against a plain scan, images of over 256 boxes too, which are settled box by box."""
     import random
