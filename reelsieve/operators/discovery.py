@@ -38,27 +38,39 @@ def unknown_labels(labels: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def distinct_by_case(items: Column) -> Column:
     """The items of an array in order, each the first of those that are equal but for case."""
-    low = F.transform(items, F.lower)
-    return F.filter(items, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    first = lambda xs, low: F.filter(xs, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    both = F.array(F.struct(items.alias("xs")))  # bound to a name, or both would be made anew for each item
+    both = F.transform(both, lambda b: F.struct(b["xs"].alias("xs"), F.transform(b["xs"], F.lower).alias("low")))
+    return F.element_at(F.transform(both, lambda b: first(b["xs"], b["low"])), 1)
+
+
+def _pieces(tail: Column) -> Column:
+    return F.filter(F.transform(F.split(tail, "[|]"), lambda x: clean_line(x)), lambda x: x != "")
 
 
 def listed_phrases(tail: Column, hashtags: bool = False) -> Column:
     """The valid phrases (or tags) of 'a | b | c', each once."""
-    pieces = F.filter(F.transform(F.split(tail, "[|]"), lambda x: clean_line(x)), lambda x: x != "")
     if hashtags:
-        return distinct_by_case(F.filter(F.transform(pieces, lambda x: to_hashtag(x)), lambda x: x.isNotNull()))
-    return distinct_by_case(F.filter(pieces, lambda x: valid_phrase(x)))
+        return distinct_by_case(F.filter(F.transform(_pieces(tail), lambda x: to_hashtag(x)), lambda x: x.isNotNull()))
+    return distinct_by_case(F.filter(_pieces(tail), lambda x: valid_phrase(x)))
+
+
+def lists_any(tail: Column, hashtags: bool = False) -> Column:
+    """Whether there is one."""
+    return F.exists(_pieces(tail), lambda x: to_hashtag(x).isNotNull() if hashtags else valid_phrase(x))
 
 
 def parse_per_label(lines: DataFrame, labels: DataFrame, most: int, hashtags: bool = False) -> DataFrame:
     """lines (no, line) of the form 'Label: a | b' -> label, items (``most`` at most). A line names a label by name, display
-    name, or display name without spaces; of a label's lines the last one with an item counts."""
+    name, or display name without spaces; of a label's lines the last one with an item counts, and only that is read in full."""
     head = F.lower(clean_line(F.split_part("line", F.lit(":"), F.lit(1))))
     tail = F.substring(F.col("line"), F.instr("line", ":") + 1, F.length("line"))
-    rows = lines.filter(F.contains("line", F.lit(":"))).select("no", head.alias("key"), listed_phrases(tail, hashtags).alias("items")).filter(F.size("items") > 0)
+    some = lines.filter(F.contains("line", F.lit(":")) & lists_any(tail, hashtags))
+    rows = some.groupBy(head.alias("key")).agg(F.max(F.struct("no", "line")).alias("last"))
     display = F.lower("display")
     keys = labels.select("label", F.explode(F.array_distinct(F.array(F.lower("label"), display, _no_space(display)))).alias("key"))
-    return rows.join(keys, "key").groupBy("label").agg(F.slice(F.max_by("items", "no"), 1, most).alias("items"))
+    last = rows.join(keys, "key").groupBy("label").agg(F.max("last").alias("last")).select("label", "last.line")
+    return last.select("label", F.slice(listed_phrases(tail, hashtags), 1, most).alias("items"))
 
 
 def merge_keywords(active: DataFrame, generated: DataFrame, static: DataFrame, most: int, override: list[str] | None = None) -> DataFrame:

@@ -61,6 +61,16 @@ def test_a_busy_slot(spark, tables):
 PARTS = "SELECT p_partkey + i * 1000001 AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part, range(3) r(i)"
 
 
+def test_phrases_are_read_in_full_once_for_a_label(spark, tables):
+    from reelsieve.plans.discovery_queries import parse_per_label
+
+    folder = tables(part=PARTS)
+    assert same_as_sql(spark, folder, "parse_per_label")
+    plan = parse_per_label(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.rindex("Aggregate") :]
+    assert "array_position" in plan and "array_position" not in below  # repeats are looked for above the last line of each label
+
+
 def test_labels_are_split_once_for_a_name(spark, tables):
     from reelsieve.plans.identity_queries import same_label_join
 
