@@ -55,12 +55,8 @@ _SIZE = "CAST(floor(greatest(sqrt((ax - bx) ** 2 + (ay - b_y) ** 2), sqrt((cx -
 @query("slanted_crops", f"SELECT image, no, width, height, height / width >= 1.5 AS turned, [0, 0, width, 0, width, height, 0, height]::BIGINT[] AS corners FROM (SELECT *, {_SIZE} FROM ({duck(_CORNERS)}))")
 def slanted_crops(spark, sf: str) -> DataFrame:
     """The corners come back through the solved map: the crop's own corners."""
-    rows = derive(spark, sf, _CORNERS)
-    corners = [(F.col(x), F.col(y)) for x, y in (("ax", "ay"), ("bx", "b_y"), ("cx", "cy"), ("dx", "dy"))]
-    points = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
-    sized = rows.withColumn("size", geometry.crop_size(points)).withColumn("m", geometry.homography(points, F.col("size")))
-    back = [F.bround(geometry.project(F.col("m"), x, y)[c], 6).cast("long") for x, y in corners for c in ("x", "y")]
-    return sized.select("image", "no", "size.width", "size.height", geometry.is_upright_text(F.col("size")).alias("turned"), F.array(*back).alias("corners"))
+    crops = geometry.corners_in_crop(derive(spark, sf, _CORNERS), ["image", "no"], [("ax", "ay"), ("bx", "b_y"), ("cx", "cy"), ("dx", "dy")])
+    return crops.select("image", "no", "width", "height", geometry.is_upright_text(F.struct("width", "height")).alias("turned"), "corners")
 
 
 def _page_facts(urls: list[str]) -> dict[str, dict]:

@@ -5,6 +5,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_queries import TABLES, plain
 
 from reelsieve.plans import registry
@@ -81,6 +82,23 @@ def test_labels_are_split_once_for_a_name(spark, tables):
     assert "array_except" in pairs and "(?<=[a-z])" not in pairs and "Generate" not in plan
 
 
+def test_crops_over_batches(spark, tables):
+    """The same corners by the map that is solved in columns; none for corners in a line or with a null."""
+    from reelsieve.functions import geometry
+
+    folder = tables(lineitem="SELECT * REPLACE (l_orderkey + i * 1000001 AS l_orderkey) FROM lineitem, range(3) r(i)")
+    assert same_as_sql(spark, folder, "slanted_crops")
+    names = [("ax", "ay"), ("bx", "b_y"), ("cx", "cy"), ("dx", "dy")]
+    rows = [(1, 0.0, 0.0, 9.0, 1.0, 8.0, 7.0, 1.0, 6.0), (2, 0.0, 0.0, 1.0, 1.0, 2.0, 2.0, 3.0, 3.0), (3, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), (4, None, 0.0, 9.0, 1.0, 8.0, 7.0, 1.0, 6.0)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{c} double" for xy in names for c in xy))
+    points = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in names])
+    m = geometry.homography(points, geometry.crop_size(points))
+    back = [F.bround(geometry.project(m, F.col(x), F.col(y))[c], 6).cast("long") for x, y in names for c in ("x", "y")]
+    want = {r.id: r.b for r in df.select("id", F.array(*back).alias("b")).collect()}
+    got = {r.id: r.corners for r in geometry.corners_in_crop(df, ["id"], names).collect()}
+    assert got == want and want[2] == [None] * 8 and want[1][0] == 0
+
+
 def test_overlaps_of_images_of_any_size(spark):
     """Against a plain scan, images of over 256 boxes too, which are settled box by box."""
     import random
