@@ -1,7 +1,8 @@
 """Near-copies by exact similarity: texts whose sets of word shingles have a Jaccard similarity of a bound or more.
 
 Candidates share a band of ``ROWS`` least hashes, of ``BANDS``: a pair of similarity 0.8 is missed by 3 in a million. Up to
-``FEW`` texts of a band are paired with each other, more with one of them that a hash chooses anew in each band. Each
+``FEW`` texts of a band are paired with each other, more first with one of them that a hash chooses anew in each band; of
+these all pairs that the links found so far leave in different components follow, in tiles of bounded size. Each
 candidate's sets are compared whole, and only pairs that reach the bound link. Words are runs between ASCII white space, A-Z
 lower-cased; a text of fewer words than the width is one shingle, texts without words (or null) are alike.
 """
@@ -15,11 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsieve.llm.common import HOT_PARTS, cut, join_spread
+from reelsieve.operators.graph import components
 
 #: Bytes with A-Z lower-cased.
 LOW = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 BANDS, ROWS, FEW = 24, 4, 8
+#: Of a large band about so many texts meet as many in a task.
+TILE = 512
 
 
 def shingle_hashes(text: str | None, width: int):
@@ -33,7 +37,7 @@ def shingle_hashes(text: str | None, width: int):
 
 
 def band_keys(texts: DataFrame, width: int) -> DataFrame:
-    """node, text -> node, band (a hash of its number and values): each text's bands."""
+    """node, text -> node, n (its shingles), band (a hash of its number and values): each text's bands."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -43,17 +47,18 @@ def band_keys(texts: DataFrame, width: int) -> DataFrame:
         mask, factor = (rng.integers(0, 2**63, BANDS * ROWS, np.uint64) for _ in range(2))
         factor = factor * np.uint64(2) + np.uint64(1)
         for batch in batches:
-            keys = []
+            keys, sizes = [], []
             for t in batch.column(1).to_pylist():
                 h, least = shingle_hashes(t, width), None
+                sizes.append(len(h))
                 for at in range(0, len(h), 1 << 12):
                     low = ((h[at : at + (1 << 12)] ^ mask[:, None]) * factor[:, None]).min(1)
                     least = low if least is None else np.minimum(least, low)
                 keys += [xxhash.xxh64_intdigest(least[ROWS * i : ROWS * (i + 1)].tobytes(), i) for i in range(BANDS)]
             offsets = pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.array(keys, np.uint64).view(np.int64)))], ["node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(np.array(keys, np.uint64).view(np.int64)))], ["node", "n", "bands"])
 
-    return cut(texts.select("node", "text").mapInArrow(rows, "node long, bands array<long>")).select("node", F.explode("bands").alias("band"))
+    return cut(texts.select("node", "text").mapInArrow(rows, "node long, n int, bands array<long>")).select("node", "n", F.explode("bands").alias("band"))
 
 
 def similar_pairs(texts: DataFrame, width: int, similarity: float, known: DataFrame | None = None) -> DataFrame:
@@ -71,6 +76,33 @@ def similar_pairs(texts: DataFrame, width: int, similarity: float, known: DataFr
     held = met.filter(F.col("times") <= FEW).groupBy("band").agg(F.collect_list(F.struct("node", "root")).alias("xs"))
     all_pairs = held.select("xs", F.explode("xs").alias("x")).select("x", F.explode("xs").alias("y")).filter("x.root <> y.root").select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
     pairs = cut(star.unionByName(all_pairs).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    near = cut(_compared(texts, pairs, width, similarity))
+    large = cut(met.filter(F.col("times") > FEW).select("band", "node", "root", "n"))
+    if large.isEmpty():
+        return near
+    ends = near.join(known.select(F.col("t1").alias("u"), F.col("root").alias("a")), "u").join(known.select(F.col("t1").alias("v"), F.col("root").alias("b")), "v") if known is not None else near.withColumns({"a": F.col("u"), "b": F.col("v")})
+    joined = components(ends.filter("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    left = cut(_apart(large, joined, similarity).join(pairs, ["u", "v"], "left_anti"))
+    return near.unionByName(_compared(texts, left, width, similarity))
+
+
+def _apart(large: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) of each band of large (band, node, root, n) whose roots joined (node, root) leaves apart and whose sizes allow
+    the similarity. A band's rows are dealt to tiles by hash, and each pair of tiles meets in a group of its own."""
+    placed = cut(large.join(joined.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("band", "node", "n", F.coalesce("to", "root").alias("root")))
+    open_bands = placed.groupBy("band").agg(F.count("node").alias("times"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    tiles = open_bands.select("band", F.ceil(F.col("times") / TILE).cast("int").alias("tiles"))
+    rows = placed.join(tiles, "band").withColumn("mine", F.pmod(F.xxhash64("node", "band"), F.col("tiles")).cast("int"))
+    dealt = rows.select("band", "mine", F.struct("node", "root", "n").alias("x"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    groups = dealt.groupBy("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).agg(F.collect_list(F.struct("mine", "x")).alias("xs"))
+    one = groups.select("i", "j", "xs", F.explode("xs").alias("a")).filter("a.mine = i")
+    both = one.select("i", "j", "a", F.explode("xs").alias("b")).filter("b.mine = j AND a.x.root <> b.x.root AND (i <> j OR a.x.node < b.x.node)")
+    fit = both.filter(F.least("a.x.n", "b.x.n") >= similarity * F.greatest("a.x.n", "b.x.n"))
+    return fit.select(F.least("a.x.node", "b.x.node").alias("u"), F.greatest("a.x.node", "b.x.node").alias("v")).distinct()
+
+
+def _compared(texts: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs (u, v) whose texts reach the similarity."""
     one, two = (texts.select(F.col("node").alias(n), F.col("text").alias(t)) for n, t in (("u", "a"), ("v", "b")))
     both = pairs.join(one, "u").join(two, "v")
 
