@@ -224,6 +224,29 @@ def test_chaining_common_pieces_and_edits(spark):
     assert len(want & got) >= 14 and not {(a, b) for a, b in got if a // 82 != b // 82}
 
 
+def test_chaining_rows_for_each_later_document(spark):
+    """Forty documents share a passage, in any order of ids: each but the earliest has a row of its own that names an earlier one."""
+    rng = random.Random(30)
+    rows = []
+    for g in range(6):
+        p = " ".join(rng.choice(WORDS) for _ in range(60))
+        rows += [(1000 * g + 7 * i, f"{' '.join(f'a{g}x{i}x{k}' for k in range(30))} {p} {' '.join(f'b{g}x{i}x{k}' for k in range(30))}") for i in rng.sample(range(40), 40)]
+    rows += [(5, "".join(f"q{i} " for i in range(60))), (5, "".join(f"r{i} " for i in range(60)))]  # an id of two texts
+    got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {a for a, b in got if b < a and a // 1000 == b // 1000} == {1000 * g + 7 * i for g in range(6) for i in range(1, 40)}
+    assert len({a for a, _ in got}) == 6 * 39 and all(b < a for a, b in got)
+
+
+def test_chaining_query_names_each_holder(spark, tmp_path):
+    rng = random.Random(31)
+    p = " ".join(rng.choice(WORDS) for _ in range(60))
+    rows = [(i, f"{' '.join(f'a{i}x{k}' for k in range(30 + i))} {p} {' '.join(f'b{i}x{k}' for k in range(30))}") for i in range(2)] + [(2, " ".join(f"c{k}" for k in range(90)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in chaining.query(spark, str(tmp_path)).collect()}
+    assert {(a, r.other_id) for a, r in got.items()} == {(0, 1), (1, 0)}
+    assert all(rows[a][1][r.first_byte : r.last_byte] == rows[r.other_id][1][r.other_first : r.other_last] == p for a, r in got.items())
+
+
 def test_chaining_periodic(spark):
     """Stretches that repeat a few words again and again."""
     rng = random.Random(28)
