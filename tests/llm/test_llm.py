@@ -224,6 +224,38 @@ def test_chaining_common_pieces_and_edits(spark):
     assert len(want & got) >= 14 and not {(a, b) for a, b in got if a // 82 != b // 82}
 
 
+def test_chaining_common_seeds_lose_nothing(spark):
+    """Six texts hold the first 40 words of a passage, six the last 40, and two hold all 60 but for four words each; all its seeds are
+    common, and stand first in other texts."""
+    rng = random.Random(32)
+    rows, want = [], set()
+    for g in range(30):
+        p = [rng.choice(WORDS) for _ in range(60)]
+        parts = [p[:40]] * 6 + [p[20:]] * 6
+        for k in range(2):
+            q = list(p)
+            for x in rng.sample(range(60), 4):
+                q[x] = f"z{g}x{k}x{x}"
+            parts.append(q)
+        rows += [(14 * g + i, f"{words(rng, 30)} {' '.join(q)} {words(rng, 30)}") for i, q in enumerate(parts)]
+        want.add((14 * g + 13, 14 * g + 12))
+    got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string"), few=2).collect()}
+    assert want <= got and not {(a, b) for a, b in got if a // 14 != b // 14}
+
+
+@pytest.mark.parametrize("columns", [256, 2])
+def test_chaining_alike_brute_force(monkeypatch, columns):
+    monkeypatch.setattr(chaining, "COLUMNS", columns)
+    rng = np.random.default_rng(33)
+    for n in range(60):
+        wins = rng.integers(0, (3, 6, 30)[n % 3], (12, 40), dtype=np.uint8)
+        pairs = [Counter((a, b) for a, b in zip(w, w[1:]) if a and b) for w in wins.tolist()]
+        for firsts, least in ((0, 4), (0, 9), (5, 4), (5, 9)):
+            want = {(i, j) for i in range(12) for j in range(i + 1, 12) if (not firsts or i < firsts <= j) and sum((pairs[i] & pairs[j]).values()) >= least}
+            i, j = chaining.alike(wins, firsts, least)
+            assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
+
+
 def test_chaining_rows_for_each_later_document(spark):
     """Forty documents share a passage, in any order of ids: each but the earliest has a row of its own that names an earlier one."""
     rng = random.Random(30)
