@@ -256,6 +256,55 @@ def test_chaining_alike_brute_force(monkeypatch, columns):
             assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
 
 
+def edited(rng, x, edits, width):
+    """The words around the middle of x with so many edits outside of the seed, cut to the same width."""
+    sides = []
+    for y in (x[:width][::-1], x[width + chaining.K :]):
+        y = list(y)
+        for _ in range(edits):
+            at, kind = rng.randrange(len(y)), rng.choice("rio")
+            y[at : at + 1] = {"r": [rng.randrange(1, 256)], "i": [y[at], rng.randrange(1, 256)], "o": []}[kind]
+        sides.append((y + [rng.randrange(1, 256) for _ in range(width)])[:width])
+    return [*sides[0][::-1], *x[width : width + chaining.K], *sides[1]]
+
+
+def test_chaining_windows_never_lose_a_passage():
+    """What align finds from the seed in the middle is let through by both tests of the windows."""
+    rng = random.Random(34)
+    n, width = 20, 40
+    ones, twos, want = [], [], []
+    for g in range(1500):
+        x = [rng.randrange(1, 256) for _ in range(2 * width + chaining.K)]
+        lo, hi = rng.randrange(width - 16, width), rng.randrange(width + chaining.K, width + 20)
+        y = edited(rng, x, rng.randrange(5), width)
+        y = [w if lo <= k < hi else rng.randrange(1, 256) for k, w in enumerate(y)]
+        texts = [" ".join(f"w{w}" for w in z).encode() for z in (x, y)]
+        at = [len(" ".join(f"w{w}" for w in z[:width])) + 1 for z in (x, y)]
+        rows, _ = chaining.align(*texts, [tuple(at)], n, 0.8, [False] * 2, [False] * 2)
+        want.append(bool(rows))
+        ones.append(x)
+        twos.append(y)
+    a, b, want = np.array(ones, np.uint8), np.array(twos, np.uint8), np.array(want)
+    fit, alone = chaining.may_align(a, b, n, 0.8), chaining.may_stand_alone(a, b, n)
+    assert 200 < want.sum() < 1300 and fit[want].all() and alone[want].all()
+    assert (fit & alone).sum() < 1.5 * want.sum()
+
+
+def test_chaining_windows_pass_over_short_runs():
+    """Runs of one word, of 33 and 47 of them, are no passage of 50 words; before, both were aligned."""
+    rng = random.Random(35)
+    ones, twos = [], []
+    for run in (33, 47, 52):
+        for out in (ones, twos):
+            more = run if out is ones else 90
+            row = [rng.randrange(2, 256) for _ in range(204)]
+            row[100 : 100 + more] = [1] * more
+            out.append(row)
+    a, b = np.array(ones, np.uint8), np.array(twos, np.uint8)
+    assert (chaining.may_align(a, b, 50, 0.8) & chaining.may_stand_alone(a, b, 50)).tolist() == [False, False, True]
+    assert not chaining.may_align(a, b, 50, 0.8)[0]
+
+
 def test_chaining_rows_for_each_later_document(spark):
     """Forty documents share a passage, in any order of ids: each but the earliest has a row of its own that names an earlier one."""
     rng = random.Random(30)
