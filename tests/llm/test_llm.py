@@ -318,6 +318,39 @@ def test_chaining_rows_for_each_later_document(spark):
     assert len({a for a, _ in got}) == 6 * 39 and all(b < a for a, b in got)
 
 
+@pytest.mark.parametrize("few", [32, 2])
+def test_chaining_links_each_two(spark, few):
+    """A passage with ten edits in one text and fifteen others in another, which are too far from each other; and families of near copies:
+    every two that are alike are linked, whatever else holds the stretch."""
+    rng = random.Random(36)
+    rows, want = [], set()
+
+    def text(p: list[str]) -> str:
+        i = len(rows)
+        return f"{' '.join(f'a{i}x{k}' for k in range(30))} {' '.join(p)} {' '.join(f'b{i}x{k}' for k in range(30))}"
+
+    for g in range(10):
+        p = [rng.choice(WORDS) for _ in range(100)]
+        far = [f"z{g}x{k}" if k % 20 in (2, 9, 15) else w for k, w in enumerate(p)]
+        near = [f"y{g}x{k}" if k % 10 == 6 else w for k, w in enumerate(p)]
+        rows += [(len(rows), text(q)) for q in (near,)]
+        rows += [(len(rows), text(q)) for q in (far,)]
+        rows += [(len(rows), text(q)) for q in (p,)]
+        want |= {(3 * g + 2, 3 * g), (3 * g + 2, 3 * g + 1)}
+    first = len(rows)
+    for n in (12, 45):
+        p = [rng.choice(WORDS) for _ in range(80)]
+        begin = len(rows)
+        for _ in range(n):
+            q = list(p)
+            for x in rng.sample(range(80), 3):
+                q[x] = f"z{len(rows)}x{x}"
+            rows.append((len(rows), text(q)))
+        want |= {(i, j) for i in range(begin, len(rows)) for j in range(begin, i)}
+    got = {(r.doc_id, r.other_id) for r in chaining.shared_passages(spark.createDataFrame(rows, "doc_id long, text string"), few=few).collect()}
+    assert want <= got and not {(a, b) for a, b in got - want if a >= first}
+
+
 def test_chaining_query_names_each_holder(spark, tmp_path):
     rng = random.Random(31)
     p = " ".join(rng.choice(WORDS) for _ in range(60))
