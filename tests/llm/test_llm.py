@@ -305,6 +305,40 @@ def test_chaining_windows_pass_over_short_runs():
     assert not chaining.may_align(a, b, 50, 0.8)[0]
 
 
+def test_chaining_plainly_alike_windows():
+    """What differs in few words, one for one, passes both tests of the windows, so that these need not be made."""
+    rng = np.random.default_rng(37)
+    a = rng.integers(1, 256, (3000, 204), dtype=np.uint8)
+    b, other = a.copy(), rng.random(a.shape) < rng.choice([0, 0.03, 0.08, 0.15, 0.4], (3000, 1))
+    other[:, 100:104] = False
+    b[other] = rng.integers(0, 256, int(other.sum()))
+    sure = chaining.plainly(a, b, 50, 0.8)
+    assert 500 < sure.sum() < 2500 and (chaining.may_align(a, b, 50, 0.8) & chaining.may_stand_alone(a, b, 50))[sure].all()
+
+
+def test_chaining_aligns_many_at_once():
+    """Chains that are aligned together give what each gives alone."""
+    rng = random.Random(38)
+    ids, flat, jobs, want = {}, [], [], []
+    for g in range(300):
+        x = [rng.randrange((2, 5, 30, 400)[g % 4]) for _ in range(rng.randrange(20, 200))]
+        y = [w for w in x for w in {0: [w, 900], 1: [], 2: [901]}.get(rng.randrange((8, 20, 60)[g % 3]), [w])]
+        texts = [" ".join(f"w{w}" for w in z).encode() for z in (x, y)]
+        words = [[m.group() for m in re.finditer(rb"[^ ]+", t)] for t in texts]
+        places = [[m.start() for m in re.finditer(rb"[^ ]+", t)] for t in texts]
+        pairs = [(places[0][i], places[1][j]) for i in range(len(x) - 3) for j in range(max(0, i - 9), min(i + 9, len(y) - 3)) if words[0][i : i + 4] == words[1][j : j + 4]]
+        for c in chaining.chain(rng.sample(pairs, min(len(pairs), 1 + g % 7)))[:2]:
+            more = [[rng.random() < 0.5 for _ in range(2)] for _ in range(2)]
+            want.append(chaining.align(*texts, c, 20, 0.8, *more))
+            sides = []
+            for k, t in enumerate(texts):
+                numbers = [ids.setdefault(w, len(ids)) for w in words[k]]
+                sides.append(chaining.Side(numbers, places[k], [p + len(w) for p, w in zip(places[k], words[k])], 0, len(t), more[0][k], more[1][k], len(flat)))
+                flat += numbers
+            jobs.append((*sides, c))
+    assert chaining.align_all(np.array(flat, np.int32), jobs, 20, 0.8) == want and sum(bool(rows) for rows, _ in want) > 100
+
+
 def test_chaining_rows_for_each_later_document(spark):
     """Forty documents share a passage, in any order of ids: each but the earliest has a row of its own that names an earlier one."""
     rng = random.Random(30)
